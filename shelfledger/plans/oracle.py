@@ -443,6 +443,23 @@ def _statements() -> dict[str, str]:
         FROM quarantine"""
     s["run_reconciliation"] = audited + """
         SELECT *, source_records = valid_records + rejected_records AS reconciled FROM per_dataset"""
+    s["batch_run"] = audited + """
+        SELECT 'SUCCESS' AS status, CAST(sum(source_records) AS BIGINT) AS source_records,
+               CAST(sum(valid_records) AS BIGINT) AS valid_records,
+               CAST(sum(rejected_records) AS BIGINT) AS rejected_records,
+               CAST(0 AS BIGINT) AS already_loaded
+        FROM per_dataset"""
+    s["batch_silver_prices"] = f"""{base}
+        SELECT event_id, barcode, store_id, price, promotion, stock_status, event_timestamp,
+               TIMESTAMP '2026-01-01' AS loaded_at
+        FROM prices"""
+    s["batch_silver_products"] = f"""WITH {products}
+        SELECT * EXCLUDE (pipeline_run_id), TIMESTAMP '2026-01-01' AS created_at,
+               TIMESTAMP '2026-01-01' AS updated_at
+        FROM products"""
+    s["batch_quarantine"] = audited + """
+        SELECT dataset_name, failure_reason, count(*) AS rejected_records
+        FROM quarantine GROUP BY 1, 2"""
     s["product_expectations"] = f"WITH {products} " + _expect("products", [
         ("barcode_not_null", "code IS NULL"),
         ("product_name_not_null", "product_name IS NULL"),

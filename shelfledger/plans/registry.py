@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfledger.functions.text import joined
 from shelfledger.functions.times import date_window
 from shelfledger.operators import audit, drift, keyed, prices, products, quality, ranking
-from shelfledger.plans import dashboard, figures, gold
-from shelfledger.plans.warehouse import decide, lake, quarantine_of, warehouse
+from shelfledger.plans import batch, dashboard, figures, gold
+from shelfledger.plans.warehouse import decide, lake, loaded, quarantine_of, warehouse
 from shelfledger.session import configure
 from shelfledger.sources import mapping, tables
 from shelfledger.streaming import prices as stream
@@ -251,6 +251,29 @@ def run_reconciliation(spark, sf_dir):
     return audit.reconcile(w.decided_products, w.decided_prices, _RUN)
 
 
+@query
+def batch_run(spark, sf_dir):
+    """The audit row of a whole load from landed files."""
+    return batch.runs(spark, loaded(spark, sf_dir)).select(
+        "status", "source_records", "valid_records", "rejected_records", "already_loaded")
+
+
+@query
+def batch_silver_prices(spark, sf_dir):
+    return batch.silver_prices(spark, loaded(spark, sf_dir))
+
+
+@query
+def batch_silver_products(spark, sf_dir):
+    return batch.silver_products(spark, loaded(spark, sf_dir))
+
+
+@query
+def batch_quarantine(spark, sf_dir):
+    return batch.quarantine(spark, loaded(spark, sf_dir)).groupBy(
+        "dataset_name", "failure_reason").agg(F.count(F.lit(1)).alias("rejected_records"))
+
+
 # -- quality -------------------------------------------------------------------------------------
 
 @query

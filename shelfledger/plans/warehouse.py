@@ -8,11 +8,13 @@ silver tables of a running platform.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.operators import audit, prices, products
+from shelfledger.plans import batch
 from shelfledger.session import scratch_dir, stage
 from shelfledger.sources import mapping
 from shelfledger.streaming import prices as stream
@@ -86,6 +88,20 @@ def _drain(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def _load(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "batch")
+    product_path, price_path = mapping.write_landed_files(spark, sf_dir, f"{root}/landed")
+    batch.run_batch(spark, f"{root}/tables", product_path, price_path,
+                    stage(mapping.stores(spark, sf_dir), "stores"), product_lines=True,
+                    as_of=datetime.fromisoformat(mapping.AS_OF))
+    return f"{root}/tables"
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the tables that one audited run made of landed files."""
+    return _once(spark, sf_dir, "batch", lambda: _load(spark, sf_dir))
+
+
 def lake(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the drained stream: ``lake`` holds its tables, ``progress`` its audit."""
     return _once(spark, sf_dir, "lake", lambda: _drain(spark, sf_dir))

@@ -125,6 +125,20 @@ def runs(totals: DataFrame) -> DataFrame:
                          run_started(F.col("pipeline_run_id")).alias("started_at"))
 
 
+def write_landed_files(spark: SparkSession, sf_dir: str, directory: str) -> tuple[str, str]:
+    """Products as JSON lines and prices as CSV, in file order; returns the two paths."""
+    product_path, price_path = f"{directory}/products.json", f"{directory}/prices.csv"
+    nutriments = F.struct(F.col("energy_kcal_100g").alias("energy-kcal_100g"))
+    document = F.struct(F.col("code"), F.col("product_name"), F.col("brands"),
+                        F.col("categories_tags"), F.col("ingredients_text"),
+                        nutriments.alias("nutriments"), F.col("last_modified_t"))
+    (raw_products(spark, sf_dir).sort("row_pos").select(F.to_json(document).alias("value"))
+     .write.text(product_path))
+    (raw_prices(spark, sf_dir).sort("row_pos").select(*PRICE_COLUMNS)
+     .write.option("header", True).csv(price_path))
+    return product_path, price_path
+
+
 def second_extract(raw: DataFrame) -> DataFrame:
     """A later product file: all records, and every seventh once more further down.
 
