@@ -19,8 +19,14 @@ NULL_WORDS = (
 
 
 def strip(col: Column) -> Column:
-    """Strip blanks at both ends (Spark's own ``trim`` keeps tabs and newlines)."""
-    return F.btrim(col, F.lit(BLANKS))
+    """Strip blanks at both ends (Spark's own ``trim`` keeps tabs and newlines).
+
+    A text that starts and ends with a visible ASCII character, as most do, is left as it is; that
+    is cheaper to see than to search the list of blanks twice.
+    """
+    last = F.substring(col, -1, 1)
+    clean = (col >= "!") & (col < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(clean, col).otherwise(F.btrim(col, F.lit(BLANKS)))
 
 
 def stripped(col: Column) -> Column:
@@ -48,13 +54,25 @@ def status_label(col: Column) -> Column:
 
 
 def reasons(*rules: tuple[Column, str]) -> Column:
-    """Array of the texts whose condition holds, in the order given."""
+    """Array of the texts whose condition holds, in the order given.
+
+    ``array_except`` rather than a lambda filter: it takes the nulls out inside generated code.
+    """
     hits = F.array(*[F.when(condition, F.lit(text)) for condition, text in rules])
-    return F.filter(hits, lambda reason: reason.isNotNull())
+    return F.array_except(hits, F.array(F.lit(None).cast("string")))
+
+
+SEPARATOR = "; "
+
+
+def reason_text(*rules: tuple[Column, str]) -> Column:
+    """The same as one text, null when no condition holds."""
+    hits = [F.when(condition, F.lit(text)) for condition, text in rules]
+    return F.nullif(F.concat_ws(SEPARATOR, *hits), F.lit(""))
 
 
 def joined(reasons_col: Column) -> Column:
-    return F.concat_ws("; ", reasons_col)
+    return F.concat_ws(SEPARATOR, reasons_col)
 
 
 def uuid_shape(digest: Column) -> Column:

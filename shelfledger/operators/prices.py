@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger.functions.numbers import safe_double
-from shelfledger.functions.text import UUID_SHAPE, canonical_uuid, joined, reasons, stripped
+from shelfledger.functions.text import SEPARATOR, UUID_SHAPE, canonical_uuid, reason_text, stripped
 from shelfledger.functions.times import instant, parse_timestamp
 from shelfledger.operators.skew import HOT_ROWS, join_counted, join_lookup
 from shelfledger.schemas import MONEY, PRICE_COLUMNS
@@ -45,7 +45,7 @@ def _known(keys: DataFrame, key: str, column: str, marker: str) -> DataFrame:
 def check_rows(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
                limit: float = PRICE_LIMIT, inclusive: bool = True, tolerance: str = TOLERANCE,
                spread: Sequence[str] = ("row_pos",)) -> DataFrame:
-    """Typed rows with the reasons that each row earns by itself, as ``own_reasons``.
+    """Typed rows with the reasons that each row earns by itself, as ``own_reason``.
 
     ``products`` and ``stores`` hold each key once. ``inclusive`` accepts a price of exactly
     ``limit``.
@@ -57,7 +57,7 @@ def check_rows(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
     event, price, at = F.col("event_key"), F.col("price_value"), F.col("event_time")
     too_high = price > limit if inclusive else price >= limit
     horizon = instant(as_of) + F.expr(f"interval {tolerance}")
-    own = reasons(
+    own = reason_text(
         (event.isNull(), "Missing event ID"),
         (F.col("_product").isNull(), "Unknown product barcode"),
         (F.col("_store").isNull(), "Unknown store"),
@@ -69,7 +69,7 @@ def check_rows(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
         (~event.rlike(UUID_SHAPE), "Event ID is not a UUID"),
         ((price > 0) & (price < 0.005), "Price rounds to zero"),
     )
-    return rows.withColumn("own_reasons", own).drop("_product", "_store")
+    return rows.withColumn("own_reason", own).drop("_product", "_store")
 
 
 def repeated_ids(checked: DataFrame, order: str) -> DataFrame:
@@ -79,7 +79,7 @@ def repeated_ids(checked: DataFrame, order: str) -> DataFrame:
     nothing else is the one accepted. Its place is a minimum, which combines map-side, so an id
     that holds a third of all rows costs no more than any other.
     """
-    own_ok = F.size("own_reasons") == 0
+    own_ok = F.col("own_reason").isNull()
     # rows without an id form one group, which the last filter removes; a filter on the id itself
     # would be pushed below the parsing and repeat it
     return (checked.groupBy(F.coalesce("event_key", F.lit("")).alias("event_key"))
@@ -97,12 +97,6 @@ def flag_repeats(checked: DataFrame, order: str = "row_pos", hot_rows: int = HOT
     return found.withColumn("repeated", later).drop("_first", "_copies")
 
 
-def _with_repeat_reason() -> Column:
-    # a repeated id is named where a missing one would be: in front
-    own = F.col("own_reasons")
-    return F.when(F.col("repeated"), F.concat(F.array(F.lit(REPEATED)), own)).otherwise(own)
-
-
 def decide_prices(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
                   limit: float = PRICE_LIMIT, inclusive: bool = True, tolerance: str = TOLERANCE,
                   order: str = "row_pos", hot_rows: int = HOT_ROWS, stage=None) -> DataFrame:
@@ -114,11 +108,15 @@ def decide_prices(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
     checked = check_rows(raw, products, stores, as_of, limit, inclusive, tolerance, (order,))
     if stage is not None:
         checked = stage(checked)
+    # a repeated id is named where a missing one would be: in front
+    reason = F.nullif(F.concat_ws(SEPARATOR, F.when(F.col("repeated"), REPEATED), "own_reason"),
+                      F.lit(""))
     return (flag_repeats(checked, order, hot_rows, (order,))
-            .withColumn("failures", _with_repeat_reason())
-            .withColumn("accepted", F.size("failures") == 0)
-            .withColumn("failure_reason", F.nullif(joined(F.col("failures")), F.lit("")))
-            .drop("own_reasons", "repeated"))
+            .withColumn("failure_reason", reason)
+            .withColumn("failures", F.coalesce(F.split("failure_reason", SEPARATOR),
+                                               F.array().cast("array<string>")))
+            .withColumn("accepted", F.col("failure_reason").isNull())
+            .drop("own_reason", "repeated"))
 
 
 def accepted_prices(decided: DataFrame, loaded_at) -> DataFrame:

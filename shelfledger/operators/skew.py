@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000  # rows of at most a few hundred bytes: tens of megabytes
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 HOT_ROWS = 2_000_000
 
@@ -24,7 +25,7 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` is known to be small enough to send to every executor.
 
     The optimizer's own estimate settles it when it is low. It is too high for most derived
-    frames, so otherwise at most ``rows`` + 1 rows are counted.
+    frames, whose rows and bytes are then measured.
     """
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     threshold = int(limit.rstrip("bB"))
@@ -32,7 +33,9 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
         return False
     if planner_bytes(df) <= threshold:
         return True
-    return df.limit(rows + 1).count() <= rows
+    size = df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return size["rows"] <= rows and (size["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def salt(spread: Sequence[str], salts: int) -> Column:

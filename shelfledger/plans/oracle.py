@@ -306,6 +306,12 @@ def _statements() -> dict[str, str]:
     s["reconcile_summary"] = tiers + _SUMMARY
     s["reconcile_widest"] = tiers + _WIDEST.format("d")
     s["reconcile_widest_abs"] = tiers + _WIDEST.format("abs(d) DESC")
+    s["cross_tier_sql"] = tiers + """
+        SELECT v.barcode, product_name, category, count(*) AS event_count,
+               max(v.price) AS highest_price,
+               (SELECT min(latest_price) FROM latest WHERE latest.barcode = v.barcode)
+                   AS lowest_latest_price
+        FROM valid AS v LEFT JOIN products USING (barcode) GROUP BY 1, 2, 3"""
     s["latest_run_summary"] = audited + _LATEST_RUN.format("")
     s["latest_successful_run"] = audited + _LATEST_RUN.format("WHERE status = 'SUCCESS'")
     outcome = audited + """

@@ -93,6 +93,25 @@ def reconcile_widest_abs(spark, sf_dir):
         gold.stream_versus_batch(_events(spark, sf_dir), w.prices, w.products), by="abs")
 
 
+@query
+def cross_tier_sql(spark, sf_dir):
+    """Both tiers in one SQL text, through views."""
+    w = warehouse(spark, sf_dir)
+    tables.register_views(spark, {
+        "lake.price_events": _events(spark, sf_dir), "silver.products": w.products,
+        "lake.latest_price": stream.latest_prices(spark, f"{lake(spark, sf_dir)}/lake")})
+    return spark.sql("""
+        WITH counted AS (
+            SELECT barcode, count(*) AS event_count, max(price) AS highest_price
+            FROM lake_price_events GROUP BY barcode),
+        newest AS (
+            SELECT barcode, min(latest_price) AS lowest_latest_price
+            FROM lake_latest_price GROUP BY barcode)
+        SELECT counted.barcode, product_name, category, event_count, highest_price,
+               lowest_latest_price
+        FROM counted JOIN newest USING (barcode) LEFT JOIN silver_products USING (barcode)""")
+
+
 # -- dashboard -----------------------------------------------------------------------------------
 
 @query

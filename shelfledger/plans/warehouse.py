@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +33,16 @@ class Warehouse:
 
 
 _RUN = "pipeline_run_id"
+_building = RLock()
 _built: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, kind: str, build):
     key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _built:
-        _built[key] = build()
-    return _built[key]
+    with _building:
+        if key not in _built:
+            _built[key] = build()
+        return _built[key]
 
 
 def decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -80,10 +83,17 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 def _drain(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_dir(spark, "lake")
     files = mapping.write_event_files(spark, sf_dir, f"{root}/incoming")
-    queries = stream.start_price_stream(
-        spark, f"{root}/incoming", f"{root}/lake", f"{root}/checkpoint", mapping.STREAM_STORES,
-        once=True, files_per_trigger=files, limit=mapping.STREAM_LIMIT)
-    stream.supervise(spark, queries, once=True)
+    # the number of state partitions is fixed for the life of a stream: no more than there are cores
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   min(int(partitions), spark.sparkContext.defaultParallelism))
+    try:
+        queries = stream.start_price_stream(
+            spark, f"{root}/incoming", f"{root}/lake", f"{root}/checkpoint", mapping.STREAM_STORES,
+            once=True, files_per_trigger=files, limit=mapping.STREAM_LIMIT)
+        stream.supervise(spark, queries, once=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     stream.stream_audit(spark, queries[0]).write.parquet(f"{root}/progress")
     return root
 
