@@ -15,11 +15,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # the ids that a long-lived stream remembers outgrow the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Dedup state of a long-lived stream outgrows the heap, so it is kept in RocksDB.
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def session(app: str = "shelfledger", master: str | None = None, **conf) -> SparkSession:
     """Session with the engine's settings; keyword names use ``__`` for the dots."""
