@@ -312,6 +312,11 @@ def _statements() -> dict[str, str]:
                (SELECT min(latest_price) FROM latest WHERE latest.barcode = v.barcode)
                    AS lowest_latest_price
         FROM valid AS v LEFT JOIN products USING (barcode) GROUP BY 1, 2, 3"""
+    s["gold_row_counts"] = tiers + f"""
+        SELECT 'daily_price_summary' AS model, count(*) AS row_count FROM ({_DAILY})
+        UNION ALL SELECT 'streamed_price_by_product', count(*) FROM ({_BY_PRODUCT})
+        UNION ALL SELECT 'streamed_events_by_store', count(*) FROM ({_BY_STORE})
+        UNION ALL SELECT 'stream_versus_batch', count(*) FROM versus"""
     s["latest_run_summary"] = audited + _LATEST_RUN.format("")
     s["latest_successful_run"] = audited + _LATEST_RUN.format("WHERE status = 'SUCCESS'")
     outcome = audited + """

@@ -12,7 +12,7 @@ from shelfledger.functions.times import date_window
 from shelfledger.operators import audit, drift, keyed, prices, products, quality, ranking
 from shelfledger.plans import batch, dashboard, figures, gold
 from shelfledger.plans.warehouse import decide, lake, loaded, quarantine_of, warehouse
-from shelfledger.session import configure
+from shelfledger.session import configure, scratch_dir
 from shelfledger.sources import mapping, tables
 from shelfledger.streaming import prices as stream
 
@@ -112,6 +112,17 @@ def cross_tier_sql(spark, sf_dir):
         FROM counted JOIN newest USING (barcode) LEFT JOIN silver_products USING (barcode)""")
 
 
+@query
+def gold_row_counts(spark, sf_dir):
+    """All models materialised, with the row counts seen while writing."""
+    w = warehouse(spark, sf_dir)
+    frames = gold.models(w.prices, w.products, mapping.stream_stores(spark, sf_dir),
+                         _events(spark, sf_dir))
+    root = scratch_dir(spark, "gold")
+    counts = gold.build_gold(frames, lambda name, df: df.write.parquet(f"{root}/{name}"))
+    return spark.createDataFrame(list(counts.items()), "model string, row_count long")
+
+
 # -- dashboard -----------------------------------------------------------------------------------
 
 @query

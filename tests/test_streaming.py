@@ -132,3 +132,17 @@ def test_unknown_mode(spark, feed):
     feed.land(event(1))
     with pytest.raises(ValueError):
         feed.drain(dedup="sometimes")
+
+
+def test_continuous_run(spark, feed):
+    feed.land(event(1), event(2, price=-1.0))
+    query, = stream.start_price_stream(spark, str(feed.root / "in"), feed.out,
+                                       str(feed.root / "checkpoint"), STORES, interval="1 second")
+    try:
+        query.processAllAvailable()
+        feed.land(event(3))
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert feed.valid() == ["e1", "e3"] and feed.invalid() == [("e2", "invalid price")]
