@@ -260,9 +260,9 @@ later AS (
     SELECT * FROM raw_products
     UNION ALL
     SELECT row_pos + 1000000000000, pipeline_run_id, code,
-           CASE WHEN row_pos % 2 = 0 THEN 'Renamed ' || brands ELSE '' END,
+           CASE row_pos % 3 WHEN 0 THEN 'Renamed ' || brands WHEN 1 THEN '' ELSE product_name END,
            brands, categories_tags, ingredients_text, energy_kcal_100g, last_modified_t
-    FROM raw_products WHERE row_pos % 7 = 0)"""
+    FROM raw_products)"""
 _EFFECT = """
 effect AS (
     SELECT code AS barcode, bool_or(NOT accepted) AS removed, arg_max(accepted, row_pos) AS present,
@@ -325,13 +325,14 @@ def _statements() -> dict[str, str]:
     s["run_outcomes"] = outcome + " WHERE status <> 'RUNNING'"
     s["run_timeline"] = outcome
     s["top_rejection_reasons"] = audited + """,
-        ranked AS (
-            SELECT failure_reason, count(*) AS n,
-                   row_number() OVER (ORDER BY count(*) DESC, failure_reason) AS place
-            FROM quarantine JOIN runs USING (pipeline_run_id) GROUP BY 1)
-        SELECT CASE WHEN place <= 7 THEN failure_reason ELSE 'Other' END AS failure_reason,
-               CAST(sum(n) AS BIGINT) AS rejected_records
-        FROM ranked GROUP BY 1"""
+        counted AS (
+            SELECT failure_reason, count(*) AS rejected_records
+            FROM quarantine WHERE pipeline_run_id IN (SELECT pipeline_run_id FROM runs) GROUP BY 1),
+        head AS (FROM counted ORDER BY rejected_records DESC, failure_reason LIMIT 7)
+        FROM head
+        UNION ALL
+        SELECT 'Other', CAST(sum(rejected_records) AS BIGINT)
+        FROM counted ANTI JOIN head USING (failure_reason) HAVING count(*) > 0"""
     s["rejections_by_dataset"] = audited + """
         SELECT upper(dataset_name[1]) || dataset_name[2:] AS dataset, count(*) AS rejected_records
         FROM quarantine JOIN runs USING (pipeline_run_id) GROUP BY 1"""
@@ -424,15 +425,16 @@ def _statements() -> dict[str, str]:
         FROM gated"""
     s["upsert_products"] = effect + """,
         earlier AS (
-            SELECT code AS barcode, 'Old ' || brands AS product_name, brands AS brand,
-                   TIMESTAMP '2020-01-01' AS created_at
-            FROM raw_products WHERE row_pos % 3 <> 1)
-        SELECT barcode, e.product_name, e.brand, e.category, e.ingredients_text,
-               e.energy_kcal_100g, e.source_modified_at,
-               CASE WHEN NOT removed AND o.created_at IS NOT NULL THEN o.created_at
-                    ELSE TIMESTAMP '2026-01-01' END AS created_at,
-               TIMESTAMP '2026-01-01' AS updated_at
-        FROM effect AS e LEFT JOIN earlier AS o USING (barcode) WHERE present"""
+            SELECT code AS barcode, TIMESTAMP '2020-01-01' AS created_at
+            FROM ruled WHERE name <> '' AND name <> code),
+        next AS (
+            SELECT barcode, e.product_name, e.brand, e.category, e.ingredients_text,
+                   e.energy_kcal_100g, e.source_modified_at,
+                   CASE WHEN NOT removed AND o.created_at IS NOT NULL THEN o.created_at
+                        ELSE TIMESTAMP '2026-01-01' END AS created_at,
+                   TIMESTAMP '2026-01-01' AS updated_at
+            FROM effect AS e LEFT JOIN earlier AS o USING (barcode) WHERE present)
+        SELECT * FROM next"""
     s["retract_products"] = effect + """
         SELECT event_id, barcode, store_id, price FROM prices
         WHERE barcode NOT IN (SELECT barcode FROM effect WHERE removed)"""

@@ -245,7 +245,7 @@ def _effect(spark, sf_dir):
 
 @query
 def upsert_products(spark, sf_dir):
-    base = mapping.earlier_products(mapping.raw_products(spark, sf_dir))
+    base = mapping.earlier_products(products.clean_products(mapping.raw_products(spark, sf_dir)))
     return products.apply_products(base, _effect(spark, sf_dir), mapping.AS_OF)
 
 

@@ -16,6 +16,7 @@ from shelfledger.schemas import JSON_TIME, PRICE_COLUMNS, PRODUCT_COLUMNS, STREA
 AS_OF = "2026-01-01T00:00:00Z"
 STREAM_LIMIT = 200
 FILE_BYTES = 128 * 1024 * 1024
+FILES_PER_CORE = 8
 STREAM_STORES = ("view", "click", "signup", "purchase")
 PRICE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                "l_extendedprice")
@@ -140,25 +141,25 @@ def write_landed_files(spark: SparkSession, sf_dir: str, directory: str) -> tupl
 
 
 def second_extract(raw: DataFrame) -> DataFrame:
-    """A later product file: all records, and every seventh once more further down.
+    """A later product file that lists every record, and then every record once more.
 
-    The repeats alternate between a new name and an empty one, so that a barcode may be accepted
-    and then rejected, or the reverse.
+    The second listing brings a new name, an empty one or no change in turn, so that a barcode may
+    be accepted and then rejected, or the reverse.
     """
     key = F.col("row_pos")
-    again = raw.filter(key % 7 == 0).withColumns({
+    again = raw.withColumns({
         "row_pos": key + 1_000_000_000_000,
-        "product_name": F.when(key % 2 == 0, F.concat(F.lit("Renamed "), "brands")).otherwise("")})
+        "product_name": F.when(key % 3 == 0, F.concat(F.lit("Renamed "), "brands"))
+                         .when(key % 3 == 1, "").otherwise(F.col("product_name"))})
     return raw.unionByName(again)
 
 
-def earlier_products(raw: DataFrame) -> DataFrame:
-    """The product table that the later file meets: two thirds of the barcodes, older values."""
+def earlier_products(clean: DataFrame) -> DataFrame:
+    """The product table that the later file meets: the clean barcodes with older values."""
     old = F.lit("2020-01-01T00:00:00Z").cast("timestamp")
-    return raw.filter(F.col("row_pos") % 3 != 1).select(
-        F.col("code").alias("barcode"), F.concat(F.lit("Old "), "brands").alias("product_name"),
-        F.col("brands").alias("brand"), F.lit("unknown").alias("category"),
-        F.lit(None).cast("string").alias("ingredients_text"),
+    return clean.select(
+        "barcode", F.concat(F.lit("Old "), "brand").alias("product_name"), "brand",
+        F.lit("unknown").alias("category"), F.lit(None).cast("string").alias("ingredients_text"),
         F.lit(None).cast("decimal(10,2)").alias("energy_kcal_100g"),
         F.lit(None).cast("timestamp").alias("source_modified_at"),
         old.alias("created_at"), old.alias("updated_at"))
@@ -187,18 +188,23 @@ def stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_event_files(spark: SparkSession, sf_dir: str, directory: str, slices: int = 4) -> int:
     """Write the events as JSON lines, a slice of ids at a time; returns the files per slice.
 
-    Every twentieth event of a slice is sent again with the next one. A slice holds as many files
-    as its share of the input has splits, and slices are complete one after the other, so a stream
-    that takes one slice per trigger sees no late first copy.
+    Every twentieth event of a slice is sent again with the next one. Slices are complete one after
+    the other, so a stream that takes one slice per trigger sees no late first copy. There are more
+    than ``slices`` when a slice would exceed some files per core, and the id bounds prune the scan
+    of each.
     """
     events = stream_source(spark, sf_dir)
+    size = planner_bytes(events)
+    cores = spark.sparkContext.defaultParallelism
+    slices = max(slices, -(-size // (FILES_PER_CORE * cores * FILE_BYTES)))
+    files = -(-size // (slices * FILE_BYTES))
     low, high = events.agg(F.min("_id"), F.max("_id")).first()
-    files = -(-planner_bytes(events) // (slices * FILE_BYTES))
     step = (high - low) // slices + 1
     for i in range(slices):
         start = low + i * step
-        first_copy = F.col("_id").between(start, start + step - 1)
-        again = F.col("_id").between(start - step, start - 1) & (F.col("_id") % 20 == 0)
-        (events.filter(first_copy | again).select(*STREAM_EVENT.fieldNames())
-         .repartition(files).write.mode("append").option("timestampFormat", JSON_TIME).json(directory))
+        slice_with_last = events.filter(F.col("_id").between(start - step, start + step - 1))
+        sent = (F.col("_id") >= start) | (F.col("_id") % 20 == 0)
+        (slice_with_last.filter(sent).select(*STREAM_EVENT.fieldNames())
+         .repartition(files).write.mode("append").option("timestampFormat", JSON_TIME)
+         .json(directory))
     return files

@@ -10,7 +10,7 @@ from shelfledger.session import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+    s = session("tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
                 spark__driver__memory="6g",
                 spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
     s.sparkContext.setLogLevel("ERROR")

@@ -94,7 +94,7 @@ def test_hot_rows_leave_their_partition(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 6000 and len(sizes) == 8 and max(sizes) < 1500
+    assert sum(sizes) == 6000 and len(sizes) == 4 and max(sizes) < 2500
 
 
 def test_accepted_rows_are_typed(spark):
