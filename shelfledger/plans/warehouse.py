@@ -46,8 +46,12 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, build):
 
 
 def decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Decided products and prices, as one lazy plan each."""
-    decided_products = products.decide_products(mapping.raw_products(spark, sf_dir))
+    """Decided products, written once, and decided prices as one lazy plan over them.
+
+    Left lazy, the products' filter would repeat their whole cleaning at every use.
+    """
+    decided_products = _once(spark, sf_dir, "products", lambda: stage(
+        products.decide_products(mapping.raw_products(spark, sf_dir)), "products"))
     silver = decided_products.filter("accepted").select("product.*")
     decided_prices = prices.decide_prices(mapping.raw_prices(spark, sf_dir), silver,
                                           mapping.stores(spark, sf_dir), mapping.AS_OF)
@@ -62,8 +66,7 @@ def quarantine_of(decided_products: DataFrame, decided_prices: DataFrame) -> Dat
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
-    lazy_products, lazy_prices = decide(spark, sf_dir)
-    decided_products = stage(lazy_products, "products")
+    decided_products, lazy_prices = decide(spark, sf_dir)
     decided_prices = stage(lazy_prices, "prices", partition_by="accepted")
     at = mapping.run_started(F.col(_RUN))
     silver = decided_products.filter("accepted").select(

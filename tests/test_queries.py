@@ -1,7 +1,9 @@
+import re
+
 import pytest
 
 import compare
-from shelfledger.plans import oracle, registry
+from shelfledger.plans import oracle, registry, warehouse
 
 SF = str(compare.DATA / "sf0.001")
 SQL = oracle.oracle_sql()
@@ -40,3 +42,17 @@ def test_reports_read_only_what_they_need(spark):
     assert "PartitionFilters: [isnotnull(accepted" in plan
     assert "GreaterThanOrEqual(event_time" in plan
     assert "raw_record" not in plan and "failures" not in plan
+
+
+def test_generated_code_can_be_compiled(spark):
+    """The JVM does not compile methods beyond 8000 bytes of bytecode."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = warehouse.decide(spark, SF)[1]
+        debug = spark._jvm.org.apache.spark.sql.execution.debug
+        module = getattr(getattr(debug, "package$"), "MODULE$")
+        text = module.codegenString(frame._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", text)]
+    assert sizes and 0 < max(sizes) < 8000
