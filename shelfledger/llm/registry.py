@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import token_counts
+from shelfledger.llm import packing, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_hilbert_shards": sharding.query,
         "op5_token_counts": token_counts.query,
+        "op10_pack_sequences": packing.query,
     }
 
 
