@@ -1,10 +1,10 @@
 """Token counts: pieces are counted once per distinct pre-token, and summed by frequency.
 
 Merges never cross a pre-token, so a text has as many tokens as its pre-tokens have pieces. Each
-chunk of documents gives one row per distinct pre-token with its postings (document, frequency),
-packed. Rows of one pre-token meet in one sorted run, where its pieces are counted once and joined
-to all its postings; the weighted postings go back to their chunk and are summed. No token ids are
-kept and no row exists per occurrence.
+chunk of documents gives one row per distinct pre-token and keeps its postings (document,
+frequency) packed in one head row. Rows of one pre-token meet in one sorted run, where its pieces are
+counted once; the counts go back to their chunk, where they are joined to the postings and summed.
+No token ids are kept and no row exists per occurrence.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from collections import Counter, defaultdict
 from itertools import count
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from shelfledger.llm.common import kept_in_worker, text_bytes, texts
 
 #: A chunk ends at so many bytes of text or documents, whichever comes first: it bounds a worker's memory.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 32 << 20
 CHUNK_DOCS = 1 << 15
 _MOST = (1 << 16) - 1  # larger frequencies are cut in several postings
 
@@ -53,28 +53,38 @@ def pretokens(text: str) -> list[str]:
     return found
 
 
-def _rows(chunk: str, ids: list, sizes: list, vocabulary: dict, words: list, counts: list) -> pa.RecordBatch:
-    """Head row with ids and sizes of the documents, then a row per pre-token."""
-    per_doc = np.array([len(x) for x in words], np.int64)
-    word = np.concatenate(words) if words else np.zeros(0, np.int64)
-    freq = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(words)), per_doc)
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays one after another, each compressed, after their sizes."""
+    parts = [pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in arrays]
+    sizes = np.array([[len(p), x.nbytes] for p, x in zip(parts, arrays)], "<i8")
+    return b"".join([sizes.tobytes(), *parts])
+
+
+def _unpack(packed: bytes, *types: str) -> list[np.ndarray]:
+    sizes = np.frombuffer(packed, "<i8", 2 * len(types)).reshape(-1, 2)
+    at, out = 16 * len(types), []
+    for kind, (short, full) in zip(types, sizes.tolist()):
+        out.append(np.frombuffer(pa.decompress(packed[at:at + short], full, "zstd", asbytes=True), kind))
+        at += short
+    return out
+
+
+def _rows(chunk: int, ids: list, sizes: list, vocabulary: dict, words: list, counts: list) -> pa.RecordBatch:
+    """A head row with the documents and all postings, then a row per distinct pre-token."""
+    word, freq = np.concatenate(words), np.concatenate(counts)
+    doc = np.repeat(np.arange(len(words)), [len(x) for x in words])
     while (over := freq > _MOST).any():
         word, doc = np.concatenate([word, word[over]]), np.concatenate([doc, doc[over]])
         freq = np.concatenate([np.where(over, _MOST, freq), freq[over] - _MOST])
     order = np.argsort(word, kind="stable")
-    packed = np.stack([doc[order], freq[order]], 1).astype("<u2").tobytes()
-    ends = np.searchsorted(word[order], np.arange(len(vocabulary)), "right") * 4
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
-    postings = pa.BinaryArray.from_buffers(
-        pa.binary(), len(vocabulary), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed)])
-    head = b"".join([np.array([i is not None for i in ids], "u1").tobytes(),
-                     np.array([i or 0 for i in ids], "<i8").tobytes(), np.array(sizes, "<i8").tobytes()])
+    head = _pack(np.array([i is not None for i in ids], "u1"), np.array([i or 0 for i in ids], "<i8"),
+                 np.array(sizes, "<i8"), np.bincount(word, minlength=len(vocabulary)).astype("<u4"),
+                 doc[order].astype("<u2"), freq[order].astype("<u2"))
+    n = len(vocabulary)
     return pa.RecordBatch.from_arrays([
-        pa.array([chunk] * (len(vocabulary) + 1)),
-        pa.array([True] + [False] * len(vocabulary)),
-        pa.array([chunk, *vocabulary]),
-        pa.concat_arrays([pa.array([head], pa.binary()), postings])], ["chunk", "head", "token", "postings"])
+        pa.array(np.full(n + 1, chunk, np.int64)), pa.array(np.arange(-1, n, dtype=np.int32)),
+        pa.array([None, *vocabulary], pa.string()), pa.array([head] + [None] * n, pa.binary())],
+        ["chunk", "word", "token", "postings"])
 
 
 def _postings(batches):
@@ -97,44 +107,38 @@ def _postings(batches):
             counts.append(np.fromiter(found.values(), np.int64, len(found)))
             size += sizes[-1]
             if size >= CHUNK_BYTES or len(ids) >= CHUNK_DOCS:
-                yield _rows(f"{part}-{next(number)}", *held)
+                yield _rows((part << 32) + next(number), *held)
                 held, size = fresh(), 0
     if held[0]:
-        yield _rows(f"{part}-{next(number)}", *held)
+        yield _rows((part << 32) + next(number), *held)
 
 
 def _count_pieces(path: str):
     def count_rows(batches):
         model, last, pieces = tokenizer(path), None, 0
         for batch in batches:
-            tokens, heads = batch.column("token").to_pylist(), batch.column("head").to_pylist()
+            tokens = batch.column("token").to_pylist()
             # sorted input: equal pre-tokens follow each other, over the end of a batch too
-            distinct = list(dict.fromkeys(t for t, h in zip(tokens, heads) if not h and t != last))
+            distinct = [t for t in dict.fromkeys(tokens) if t is not None and t != last]
             known = dict(zip(distinct, map(len, model.encode_batch(distinct, add_special_tokens=False))))
-            known[last] = pieces
-            values = [0 if h else known[t] for t, h in zip(tokens, heads)]
-            if not heads[-1]:
-                last, pieces = tokens[-1], values[-1]
+            known |= {last: pieces, None: 0}
+            values = [known[t] for t in tokens]
+            last, pieces = tokens[-1], values[-1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("head"), batch.column("postings"),
-                 pa.array(values, pa.int64())], ["chunk", "head", "postings", "pieces"])
+                [batch.column("chunk"), batch.column("word"), batch.column("postings"),
+                 pa.array(values, pa.int32())], ["chunk", "word", "postings", "pieces"])
     return count_rows
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    heads = table.column("head").to_numpy(zero_copy_only=False)
-    postings = table.column("postings").combine_chunks()
-    head = postings[int(np.flatnonzero(heads)[0])].as_py()
-    n = len(head) // 17
-    valid = np.frombuffer(head, "u1", n).astype(bool)
-    ids, sizes = np.frombuffer(head, "<i8", offset=n).reshape(2, n)
-    rows = np.flatnonzero(~heads)
-    own = postings.take(pa.array(rows))
-    pairs = np.frombuffer(b"".join(own.to_pylist()), "<u2").reshape(-1, 2)
-    lengths = pa.compute.binary_length(own).to_numpy(zero_copy_only=False) // 4
-    pieces = np.repeat(table.column("pieces").to_numpy()[rows], lengths.astype(np.int64))
-    total = np.bincount(pairs[:, 0], pairs[:, 1] * pieces.astype(np.float64), n).astype(np.int64)
-    return pa.table({"doc_id": pa.array(ids, mask=~valid), "n_bytes": sizes, "n_tokens": total})
+    word, pieces = table.column("word").to_numpy(), table.column("pieces").to_numpy()
+    head = table.column("postings")[int(np.flatnonzero(word < 0)[0])].as_py()
+    valid, ids, sizes, docs, doc, freq = _unpack(head, "u1", "<i8", "<i8", "<u4", "<u2", "<u2")
+    of_word = np.zeros(len(docs) + 1)
+    of_word[word] = pieces  # the head's -1 is the last place, which no word has
+    total = np.bincount(doc, np.repeat(of_word[:-1], docs) * freq, len(ids))
+    return pa.table({"doc_id": pa.array(ids, mask=valid == 0), "n_bytes": sizes,
+                     "n_tokens": total.astype(np.int64)})
 
 
 def token_counts(docs: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
@@ -145,9 +149,9 @@ def token_counts(docs: DataFrame, path: str, partitions: int | None = None) -> D
     fixed order), so that a repeated task forms the same chunks.
     """
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts(docs).mapInArrow(_postings, "chunk string, head boolean, token string, postings binary")
-    counted = rows.repartition(n, "token").sortWithinPartitions("token").mapInArrow(
-        _count_pieces(path), "chunk string, head boolean, postings binary, pieces long")
+    rows = texts(docs).mapInArrow(_postings, "chunk long, word int, token string, postings binary")
+    counted = rows.repartition(n, F.coalesce("token", F.col("chunk").cast("string"))).sortWithinPartitions(
+        "token").mapInArrow(_count_pieces(path), "chunk long, word int, postings binary, pieces int")
     return counted.groupBy("chunk").applyInArrow(_sum, "doc_id long, n_bytes long, n_tokens long")
 
 
