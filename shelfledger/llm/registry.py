@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import packing, sharding, token_counts
+from shelfledger.llm import languages, packing, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_hilbert_shards": sharding.query,
+        "op4_language_mixture": languages.query,
         "op5_token_counts": token_counts.query,
         "op10_pack_sequences": packing.query,
     }
