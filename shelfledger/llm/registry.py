@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import languages, packing, sharding, token_counts
+from shelfledger.llm import extraction, languages, packing, sharding, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_extract_pages": extraction.query,
         "op3_hilbert_shards": sharding.query,
         "op4_language_mixture": languages.query,
         "op5_token_counts": token_counts.query,
+        "op6_toxic_spans": toxicity.query,
         "op10_pack_sequences": packing.query,
     }
 
