@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import extraction, languages, near_duplicates, packing, sharding, substrings, token_counts, toxicity
+from shelfledger.llm import decontamination, extraction, languages, near_duplicates, packing, sharding, substrings, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_mixture": languages.query,
         "op5_token_counts": token_counts.query,
         "op6_toxic_spans": toxicity.query,
+        "op7_benchmark_templates": decontamination.query,
         "op8_near_duplicates": near_duplicates.query,
         "op9_repeated_substrings": substrings.query,
         "op10_pack_sequences": packing.query,
