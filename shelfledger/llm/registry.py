@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import decontamination, extraction, languages, near_duplicates, packing, sharding, substrings, token_counts, toxicity
+from shelfledger.llm import (decontamination, extraction, fingerprints, languages, near_duplicates, packing,
+                             sharding, substrings, token_counts, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_fingerprints": fingerprints.query,
         "op2_extract_pages": extraction.query,
         "op3_hilbert_shards": sharding.query,
         "op4_language_mixture": languages.query,
