@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable, Iterator
 
@@ -36,6 +37,22 @@ def kept_in_worker(key: str, build: Callable):
     return store[key]
 
 
+def tokenizer(path: str):
+    """A tokenizer of the ``tokenizers`` library, on one thread."""
+    def load():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(path)
+    return kept_in_worker(f"tokenizer {path}", load)
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: printable bytes stand for themselves,
+    the others for the characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows one after another, and the offsets of the rows; null is empty."""
     column = pc.fill_null(column, "")

@@ -24,8 +24,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Further rounds at most, in which buckets that still hold several classes meet at another text.
 ROUNDS = 3
-#: Rows of two texts that a worker compares together, in bytes of text.
-TOGETHER = 4 << 20
+#: Stands for a null id in joins.
+NO_ID = -(1 << 63)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE
@@ -143,7 +143,8 @@ def _meetings(buckets: DataFrame, place: str) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id and class_id, the least id of its class of near duplicates.
+    """Per row: doc_id, text_key (a digest of the text) and class_id, the least id of its class of near
+    duplicates.
 
     Equal texts are of one class, null being empty. A text without words is like its copies alone; one of up
     to five words is one shingle. An id that is null gets a class only from copies of its text. Rows
@@ -184,15 +185,18 @@ def classes(docs: DataFrame) -> DataFrame:
         found = stage(components(links), "classes")
     of_text = texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "text_key", F.coalesce("component", "doc_id").alias("class_id"))
-    return sketched.select("doc_id", "text_key").join(of_text, "text_key").select("doc_id", "class_id")
+    return sketched.select("doc_id", "text_key").join(of_text, "text_key").select("doc_id", "text_key", "class_id")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return classes(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id")
 
 
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document, by id, of every class; rows that repeat an id are one document."""
+    """The first document, by id, of every class, once. A document without an id stays unless a document
+    with one has its text; of several with one text one stays."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    first = classes(docs).filter("doc_id = class_id OR class_id IS NULL").select("doc_id").distinct()
-    return docs.select(columns).join(first, F.equal_null(docs["doc_id"], first["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    own_id = F.coalesce("doc_id", F.lit(NO_ID)).alias("id")
+    first = classes(docs).filter("doc_id = class_id OR class_id IS NULL").select(own_id, "text_key").distinct()
+    keyed = docs.select(*columns, own_id, F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"))
+    return keyed.join(first, ["id", "text_key"], "left_semi").dropDuplicates(["id", "text_key"]).select(columns)

@@ -10,8 +10,9 @@ their length: the ranks of a length are laid over the patterns that use it.
 from __future__ import annotations
 
 import bisect
-import os
+import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,22 +21,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import kept_in_worker, texts
+from shelfledger.llm.common import byte_letters, kept_in_worker, texts, tokenizer
 from shelfledger.session import stage
 
 LENGTH = 4096
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 600_000
 #: Rows that one rank group aims at, and the most groups besides one per length.
-RANK_ROWS = 5_000
+RANK_ROWS = 500
 RANK_GROUPS = 20_000
 PIECES = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+#: Words of small Latin letters are one pre-token each, so the merges alone give their ids.
+_SIMPLE = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: Where a blank changes nothing: the vocabulary parts letters and digits from the marks after them.
+_BEFORE_MARK = re.compile(rb"([a-z0-9])(?=[!-/:-@\[-`{-~])")
 
 
 class _Words(dict):
@@ -43,16 +44,25 @@ class _Words(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        self.model = _tokenizer(path)
-
-    def of(self, words: list[bytes]) -> bytes:
-        missing = [w for w in set(words) if w not in self]
+        self.model, self.letters = tokenizer(path), byte_letters()
+
+    def of(self, text: bytes) -> bytes:
+        text = text.lower()  # ASCII only, as the vocabulary does first
+        # a special token's string must stay in one word
+        words = text.split() if b"<|" in text else _BEFORE_MARK.sub(rb"\1 ", text).split()
+        if len(self) > REMEMBERED:
+            self.clear()
+        missing = set(words).difference(self)
         if missing:
-            if len(self) > REMEMBERED:
-                self.clear()
-                missing = list(set(words))
-            found = self.model.encode_batch([w.decode() for w in missing], add_special_tokens=False)
-            self.update(zip(missing, (np.array(e.ids, "<u4").tobytes() for e in found)))
+            merges, letters, other = self.model.model, self.letters, []
+            for word in missing:
+                if _SIMPLE.fullmatch(word):
+                    found = [t.id for t in merges.tokenize(word.decode("latin-1").translate(letters))]
+                    self[word] = array("I", found).tobytes()
+                else:
+                    other.append(word)
+            encoded = self.model.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
+            self.update(zip(other, (array("I", e.ids).tobytes() for e in encoded)))
         return b"".join(map(self.__getitem__, words))
 
 
@@ -66,7 +76,7 @@ def _pieces(path: str, end_id: int, length: int):
             rows = zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(),
                        batch.column("text").cast(pa.binary()).to_pylist())
             for doc_id, row, text in rows:
-                ids = known.of((text or b"").split()) + end
+                ids = known.of(text or b"") + end
                 total = len(ids) // 4
                 for start in range(0, total, length):
                     part = ids[4 * start:4 * (start + length)]

@@ -9,7 +9,6 @@ No token ids are kept and no row exists per occurrence.
 
 from __future__ import annotations
 
-import os
 from collections import Counter, defaultdict
 from itertools import count
 
@@ -21,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import kept_in_worker, text_bytes, texts
+from shelfledger.llm.common import byte_letters, kept_in_worker, text_bytes, texts, tokenizer
 
 #: A chunk ends at so many bytes of text or documents, whichever comes first: it bounds a worker's memory.
 CHUNK_BYTES = 32 << 20
@@ -33,14 +32,6 @@ PATTERN = public_tokenizers.PATTERN
 SPECIAL = "<|endoftext|>"
 
 
-def tokenizer(path: str):
-    def load():
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        return Tokenizer.from_file(path)
-    return kept_in_worker(f"tokenizer {path}", load)
-
-
 def pretokens(text: str) -> list[str]:
     """The pre-tokens of a text; the special string is one of its own."""
     find = kept_in_worker("pretokens", lambda: regex.compile(PATTERN)).findall
@@ -113,14 +104,25 @@ def _postings(batches):
         yield _rows((part << 32) + next(number), *held)
 
 
+def _counter(path: str):
+    """The number of pieces of a pre-token: the merges alone are run, on its bytes as letters."""
+    merges, letters = tokenizer(path).model, byte_letters()
+
+    def count_of(token: str) -> int:
+        if token == SPECIAL:
+            return 1
+        return len(merges.tokenize(token.encode().decode("latin-1").translate(letters)))
+    return count_of
+
+
 def _count_pieces(path: str):
     def count_rows(batches):
-        model, last, pieces = tokenizer(path), None, 0
+        count_of, last, pieces = _counter(path), None, 0
         for batch in batches:
             tokens = batch.column("token").to_pylist()
             # sorted input: equal pre-tokens follow each other, over the end of a batch too
             distinct = [t for t in dict.fromkeys(tokens) if t is not None and t != last]
-            known = dict(zip(distinct, map(len, model.encode_batch(distinct, add_special_tokens=False))))
+            known = dict(zip(distinct, map(count_of, distinct)))
             known |= {last: pieces, None: 0}
             values = [known[t] for t in tokens]
             last, pieces = tokens[-1], values[-1]
