@@ -11,7 +11,7 @@ from shelfledger.functions.numbers import safe_double
 from shelfledger.functions.text import SEPARATOR, UUID_SHAPE, canonical_uuid, reason_text, stripped
 from shelfledger.functions.times import instant, parse_timestamp
 from shelfledger.operators.skew import HOT_ROWS, join_counted, join_lookup
-from shelfledger.schemas import MONEY, PRICE_COLUMNS
+from shelfledger.schemas import MONEY, PRICE_COLUMNS, RAW_LINE
 
 PRICE_LIMIT = 500
 TOLERANCE = "5 minutes"
@@ -27,6 +27,8 @@ TYPED = ("event_key", "barcode_key", "store_key", "price_value", "is_promotion",
 
 def typed_prices(raw: DataFrame) -> DataFrame:
     """Raw rows plus their stripped and parsed fields."""
+    if RAW_LINE not in raw.columns:
+        raw = raw.withColumn(RAW_LINE, F.lit(None).cast("string"))
     text = {"event_key": "event_id", "barcode_key": "barcode", "store_key": "store_id",
             "price_value": "price"}
     return (raw.withColumns({new: stripped(F.col(old)) for new, old in text.items()})
@@ -68,6 +70,7 @@ def check_rows(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
         (at > horizon, "Timestamp is in the future"),
         (~event.rlike(UUID_SHAPE), "Event ID is not a UUID"),
         ((price > 0) & (price < 0.005), "Price rounds to zero"),
+        (F.col(RAW_LINE).isNotNull(), "Fields do not match the header"),
     )
     return rows.withColumn("own_reason", own).drop("_product", "_store")
 
@@ -130,5 +133,5 @@ def accepted_prices(decided: DataFrame, loaded_at) -> DataFrame:
 
 
 def raw_price_json() -> Column:
-    """The raw record, absent fields as nulls."""
-    return F.to_json(F.struct(*PRICE_COLUMNS), {"ignoreNullFields": "false"})
+    """The raw record, absent fields as nulls; of a record that doesn't fit the header, its line."""
+    return F.coalesce(RAW_LINE, F.to_json(F.struct(*PRICE_COLUMNS), {"ignoreNullFields": "false"}))

@@ -112,7 +112,7 @@ def check(df: DataFrame, suite: Sequence[Rule], dataset: str,
     for rule in row_rules:
         if rule.kind == "in_table":
             frame, key = tables[rule.table]
-            keys = frame.select(F.col(key).alias(rule.column), F.lit(True).alias(f"_known_{rule.name}"))
+            keys = frame.select(F.col(key).alias(rule.column)).distinct().withColumn(f"_known_{rule.name}", F.lit(True))
             marked = join_lookup(marked, keys, rule.column, "left", spread)
     results = []
     if row_rules:

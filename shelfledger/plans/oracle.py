@@ -153,14 +153,16 @@ quarantine AS (
 
 _STREAM = """
 lake AS (
-    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS barcode,
+    SELECT CASE WHEN e.event_id % 100 <> 37 THEN CAST(e.event_id AS VARCHAR) END AS event_id,
+           CAST(user_id AS VARCHAR) AS barcode,
            event_type AS store_id, value AS price, 'EUR' AS currency, FALSE AS promotion,
            'in_stock' AS stock_status, ts AS event_time,
-           CASE WHEN event_type NOT IN ('view', 'click', 'signup', 'purchase') THEN 'unknown store'
+           CASE WHEN e.event_id % 100 = 37 THEN 'missing event_id'
+                WHEN event_type NOT IN ('view', 'click', 'signup', 'purchase') THEN 'unknown store'
                 WHEN value IS NULL THEN 'missing price'
                 WHEN value <= 0 OR value >= 200 THEN 'invalid price' END AS validation_error,
            CAST(round(value * 1000000) AS BIGINT) AS u
-    FROM events),
+    FROM events AS e),
 valid AS (SELECT * FROM lake WHERE validation_error IS NULL),
 stream_stores AS (
     SELECT * FROM stores UNION ALL
@@ -257,12 +259,12 @@ gated AS (
     FROM ruled AS r LEFT JOIN verdicts USING (code))"""
 _LATER = """
 later AS (
-    SELECT * FROM raw_products
+    SELECT * FROM raw_products WHERE row_pos % 11 <> 5
     UNION ALL
     SELECT row_pos + 1000000000000, pipeline_run_id, code,
            CASE row_pos % 3 WHEN 0 THEN 'Renamed ' || brands WHEN 1 THEN '' ELSE product_name END,
            brands, categories_tags, ingredients_text, energy_kcal_100g, last_modified_t
-    FROM raw_products)"""
+    FROM raw_products WHERE row_pos % 11 <> 5)"""
 _EFFECT = """
 effect AS (
     SELECT code AS barcode, bool_or(NOT accepted) AS removed, arg_max(accepted, row_pos) AS present,
@@ -434,7 +436,11 @@ def _statements() -> dict[str, str]:
                         ELSE TIMESTAMP '2026-01-01' END AS created_at,
                    TIMESTAMP '2026-01-01' AS updated_at
             FROM effect AS e LEFT JOIN earlier AS o USING (barcode) WHERE present)
-        SELECT * FROM next"""
+        SELECT * FROM next
+        UNION ALL
+        SELECT CAST(p_partkey AS VARCHAR), 'Old ' || p_brand, p_brand, 'unknown', NULL, NULL, NULL,
+               TIMESTAMP '2020-01-01', TIMESTAMP '2020-01-01'
+        FROM part WHERE p_partkey % 11 = 5 AND p_partkey % 25 NOT IN (0, 1)"""
     s["retract_products"] = effect + """
         SELECT event_id, barcode, store_id, price FROM prices
         WHERE barcode NOT IN (SELECT barcode FROM effect WHERE removed)"""
@@ -470,6 +476,13 @@ def _statements() -> dict[str, str]:
         SELECT * EXCLUDE (pipeline_run_id), TIMESTAMP '2026-01-01' AS created_at,
                TIMESTAMP '2026-01-01' AS updated_at
         FROM products"""
+    s |= _load_statements(base)
+    s["prices_of_barcode"] = f"""{base}
+        SELECT event_id, barcode, store_id, price, event_timestamp FROM prices WHERE barcode = '5'
+        AND event_timestamp >= TIMESTAMP '1993-01-01' AND event_timestamp < TIMESTAMP '1998-01-01'"""
+    s["prices_of_store"] = f"""{base}
+        SELECT event_id, barcode, store_id, price, event_timestamp FROM prices WHERE store_id = '3'
+        AND event_timestamp >= TIMESTAMP '1995-01-01' AND event_timestamp < TIMESTAMP '1996-01-01'"""
     s["batch_quarantine"] = audited + """
         SELECT dataset_name, failure_reason, count(*) AS rejected_records
         FROM quarantine GROUP BY 1, 2"""
@@ -522,9 +535,7 @@ def _statements() -> dict[str, str]:
         SELECT {event}, validation_error FROM lake WHERE validation_error IS NOT NULL"""
     s["stream_latest_price"] = f"{tiers} SELECT * FROM latest"
     s["stream_accounting"] = tiers + """,
-        span AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
-        again AS (SELECT count(*) AS n FROM events, span
-                  WHERE event_id % 20 = 0 AND event_id < lo + 3 * ((hi - lo) // 4 + 1))
+        again AS (SELECT count(*) AS n FROM events WHERE event_id % 20 = 0)
         SELECT count(*) + any_value(n) AS input_rows,
                CAST(any_value(n) AS BIGINT) AS late_or_duplicate_rows,
                count(*) FILTER (validation_error IS NULL) AS valid_rows,
@@ -554,5 +565,62 @@ def _statements() -> dict[str, str]:
     return s
 
 
+def _load_statements(base: str) -> dict[str, str]:
+    """Three loads into one root: what each accepts by itself, and what is left of it in the end."""
+    def accepted(k: int, quarters: str, at: str) -> str:
+        return f"""
+        own{k} AS (
+            SELECT *, coalesce(event_id IS NOT NULL AND barcode IN (SELECT barcode FROM known{k})
+                   AND store_id IN (SELECT store_id FROM stores) AND p > 0 AND p <= 500
+                   AND t <= TIMESTAMP '{at}' + INTERVAL 5 MINUTE, FALSE) AS ok
+            FROM files WHERE quarter IN ({quarters})),
+        accepted{k} AS (
+            SELECT *, TIMESTAMP '{at}' AS loaded_at FROM own{k} WHERE ok
+            QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY row_pos) = 1)"""
+    loads = f"""{base},
+        files AS (
+            SELECT r.*, k.l_orderkey % 4 AS quarter
+            FROM raw_prices AS r JOIN (SELECT row_pos, l_orderkey FROM faulty) AS k USING (row_pos)),
+        known1 AS (SELECT barcode FROM products),
+        known2 AS (SELECT barcode FROM products WHERE CAST(barcode AS BIGINT) % 14 <> 3),
+        known3 AS (SELECT barcode FROM known2 UNION ALL SELECT code FROM raw_products WHERE row_pos % 14 = 3),
+        {accepted(1, "0, 1", "2026-01-01")}, {accepted(2, "1, 2", "2026-01-01")}, {accepted(3, "2, 3, 0", "2025-06-01")},
+        left1 AS (SELECT * FROM accepted1 WHERE CAST(barcode AS BIGINT) % 14 <> 3),
+        new2 AS (SELECT * FROM accepted2 WHERE event_id NOT IN (SELECT event_id FROM left1)),
+        left2 AS (SELECT * FROM left1 UNION ALL SELECT * FROM new2),
+        new3 AS (SELECT * FROM accepted3 WHERE event_id NOT IN (SELECT event_id FROM left2)),
+        odd AS (SELECT *, row_pos % 25 IN (0, 1, 2) OR row_pos % 14 = 3 AS bad FROM raw_products WHERE row_pos % 2 = 1)"""
+
+    def totals(k: int, products: str, bad: str, new: str) -> str:
+        return f"""
+        SELECT CAST({k} AS BIGINT) AS commit_seq, 'SUCCESS' AS status, n + (SELECT count(*) FROM own{k}) AS source_records,
+               n - bad + (SELECT count(*) FROM {new}) AS valid_records,
+               bad + (SELECT count(*) FROM own{k}) - (SELECT count(*) FROM accepted{k}) AS rejected_records,
+               (SELECT count(*) FROM accepted{k}) - (SELECT count(*) FROM {new}) AS already_loaded
+        FROM (SELECT count(*) AS n, count(*) FILTER ({bad}) AS bad FROM {products})"""
+    return {
+        "batch_runs_totals": loads + totals(1, "raw_products", "row_pos % 25 IN (0, 1, 2)", "accepted1") + " UNION ALL "
+        + totals(2, "odd", "bad", "new2") + " UNION ALL "
+        + totals(3, "(SELECT * FROM raw_products WHERE row_pos % 14 = 3)", "FALSE", "new3"),
+        "batch_runs_silver_prices": loads + """
+            SELECT event_id, barcode, store_id, p AS price, promotion = 'True' AS promotion, stock_status,
+                   t AS event_timestamp, loaded_at
+            FROM (SELECT * FROM left2 UNION ALL SELECT * FROM new3)""",
+        "batch_runs_silver_products": loads + """
+            SELECT barcode, product_name, TIMESTAMP '2026-01-01' AS created_at
+            FROM products WHERE CAST(barcode AS BIGINT) % 14 <> 3
+            UNION ALL SELECT code, 'Back again', TIMESTAMP '2025-06-01' FROM raw_products WHERE row_pos % 14 = 3""",
+        "batch_landed_prices": loads + """
+            SELECT count(*) AS landed_rows, count(barcode) AS with_barcode, CAST(3 AS BIGINT) AS runs
+            FROM (SELECT barcode FROM own1 UNION ALL SELECT barcode FROM own2 UNION ALL SELECT barcode FROM own3)""",
+        "batch_verdicts": loads + """
+            SELECT CASE WHEN bad THEN 'reject' ELSE 'pass' END AS status, count(*) AS verdicts,
+                   count(DISTINCT code) AS barcodes
+            FROM (SELECT code, row_pos % 25 IN (0, 1, 2) AS bad FROM raw_products
+                  UNION ALL SELECT code, bad FROM odd
+                  UNION ALL SELECT code, FALSE FROM raw_products WHERE row_pos % 14 = 3) GROUP BY 1""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return _statements()

@@ -11,7 +11,7 @@ from shelfledger.functions.text import joined
 from shelfledger.functions.times import date_window
 from shelfledger.operators import audit, drift, keyed, prices, products, quality, ranking
 from shelfledger.plans import batch, dashboard, figures, gold
-from shelfledger.plans.warehouse import decide, lake, loaded, quarantine_of, warehouse
+from shelfledger.plans.warehouse import decide, known_stores, lake, loaded, loaded_runs, quarantine_of, warehouse
 from shelfledger.session import configure, scratch_dir
 from shelfledger.sources import mapping, tables
 from shelfledger.streaming import prices as stream
@@ -304,6 +304,53 @@ def batch_quarantine(spark, sf_dir):
         "dataset_name", "failure_reason").agg(F.count(F.lit(1)).alias("rejected_records"))
 
 
+@query
+def batch_runs_totals(spark, sf_dir):
+    """Counts of three loads into one root, in the order of their publication."""
+    return batch.runs(spark, loaded_runs(spark, sf_dir)).select(
+        "commit_seq", "status", "source_records", "valid_records", "rejected_records", "already_loaded")
+
+
+@query
+def batch_runs_silver_prices(spark, sf_dir):
+    """Prices after inserts, a retraction and a return of products, and a backfill."""
+    return batch.silver_prices(spark, loaded_runs(spark, sf_dir))
+
+
+@query
+def batch_runs_silver_products(spark, sf_dir):
+    return batch.silver_products(spark, loaded_runs(spark, sf_dir)).select("barcode", "product_name", "created_at")
+
+
+@query
+def batch_landed_prices(spark, sf_dir):
+    """Rows landed per price file, each file by its newest run, and how many have a barcode."""
+    return batch.bronze(spark, loaded_runs(spark, sf_dir), "prices").agg(
+        F.count(F.lit(1)).alias("landed_rows"), F.count("barcode").alias("with_barcode"),
+        F.countDistinct("run_id").alias("runs"))
+
+
+@query
+def batch_verdicts(spark, sf_dir):
+    """Verdicts of three loads by status."""
+    return batch.verdicts(spark, loaded_runs(spark, sf_dir)).groupBy("status").agg(
+        F.count(F.lit(1)).alias("verdicts"), F.countDistinct("barcode").alias("barcodes"))
+
+
+@query
+def prices_of_barcode(spark, sf_dir):
+    """One product's prices over some years, newest first; files and row groups of other barcodes are not read."""
+    return batch.prices_of(spark, loaded(spark, sf_dir), barcode="5", start="1993-01-01", end="1998-01-01").select(
+        "event_id", "barcode", "store_id", "price", "event_timestamp")
+
+
+@query
+def prices_of_store(spark, sf_dir):
+    """One store's prices of a year, newest first; the months outside are not read."""
+    return batch.prices_of(spark, loaded(spark, sf_dir), store_id="3", start="1995-01-01", end="1996-01-01").select(
+        "event_id", "barcode", "store_id", "price", "event_timestamp")
+
+
 # -- quality -------------------------------------------------------------------------------------
 
 @query
@@ -315,7 +362,7 @@ def product_expectations(spark, sf_dir):
 @query
 def price_expectations(spark, sf_dir):
     return quality.check(mapping.raw_prices(spark, sf_dir), quality.PRICE_SUITE, "prices",
-                         {"stores": (mapping.stores(spark, sf_dir), "store_id")}, ["row_pos"])
+                         {"stores": (known_stores(spark, sf_dir), "store_id")}, ["row_pos"])
 
 
 @query
@@ -372,7 +419,7 @@ def stream_latest_price(spark, sf_dir):
 def stream_accounting(spark, sf_dir):
     """Rows that came in, against valid, invalid, late and duplicate rows."""
     root = lake(spark, sf_dir)
-    came = spark.read.parquet(f"{root}/progress").agg(
+    came = stream.stream_audit(spark, f"{root}/lake").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum(F.col("late_rows") + F.col("duplicate_rows")).alias("late_or_duplicate_rows"))
     went = stream.validation_counts(spark, f"{root}/lake").agg(

@@ -45,6 +45,10 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, build):
         return _built[key]
 
 
+def known_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "stores", lambda: stage(mapping.stores(spark, sf_dir), "stores"))
+
+
 def decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Decided products, written once, and decided prices as one lazy plan over them.
 
@@ -54,7 +58,8 @@ def decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         products.decide_products(mapping.raw_products(spark, sf_dir)), "products"))
     silver = decided_products.filter("accepted").select("product.*")
     decided_prices = prices.decide_prices(mapping.raw_prices(spark, sf_dir), silver,
-                                          mapping.stores(spark, sf_dir), mapping.AS_OF)
+                                          known_stores(spark, sf_dir), mapping.AS_OF,
+                                          stage=lambda df: _once(spark, sf_dir, "checked", lambda: stage(df, "checked")))
     return decided_products, decided_prices
 
 
@@ -73,7 +78,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
         "product.*", at.alias("created_at"), at.alias("updated_at"))
     totals = audit.run_totals(audit.reconcile(decided_products, decided_prices, _RUN))
     return Warehouse(
-        decided_products, decided_prices, silver, stage(mapping.stores(spark, sf_dir), "stores"),
+        decided_products, decided_prices, silver, known_stores(spark, sf_dir),
         prices.accepted_prices(decided_prices, at),
         quarantine_of(decided_products, decided_prices),
         stage(mapping.runs(totals), "runs"))
@@ -97,7 +102,6 @@ def _drain(spark: SparkSession, sf_dir: str) -> str:
         stream.supervise(spark, queries, once=True)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    stream.stream_audit(spark, queries[0]).write.parquet(f"{root}/progress")
     return root
 
 
@@ -105,7 +109,7 @@ def _load(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_dir(spark, "batch")
     product_path, price_path = mapping.write_landed_files(spark, sf_dir, f"{root}/landed")
     batch.run_batch(spark, f"{root}/tables", product_path, price_path,
-                    stage(mapping.stores(spark, sf_dir), "stores"), product_lines=True,
+                    known_stores(spark, sf_dir), product_lines=True,
                     as_of=datetime.fromisoformat(mapping.AS_OF))
     return f"{root}/tables"
 
@@ -115,6 +119,19 @@ def loaded(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "batch", lambda: _load(spark, sf_dir))
 
 
+def _load_runs(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "loads")
+    for (product_path, price_path), at in zip(mapping.write_load_files(spark, sf_dir, f"{root}/landed"), mapping.LOAD_TIMES):
+        batch.run_batch(spark, f"{root}/tables", product_path, price_path, known_stores(spark, sf_dir),
+                        product_lines=True, as_of=datetime.fromisoformat(at))
+    return f"{root}/tables"
+
+
+def loaded_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the tables that three audited runs made, one after the other."""
+    return _once(spark, sf_dir, "loads", lambda: _load_runs(spark, sf_dir))
+
+
 def lake(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the drained stream: ``lake`` holds its tables, ``progress`` its audit."""
+    """Folder of the drained stream; ``lake`` holds its tables and its audit."""
     return _once(spark, sf_dir, "lake", lambda: _drain(spark, sf_dir))

@@ -37,6 +37,9 @@ PRODUCT_RAW = _struct(
 )
 PRODUCT_COLUMNS = PRODUCT_RAW.fieldNames()
 
+#: The line of a price record whose fields don't fit the header.
+RAW_LINE = "raw_line"
+
 PRODUCTS = _struct(
     ("barcode", _TEXT),
     ("product_name", _TEXT),
@@ -93,6 +96,7 @@ PIPELINE_RUNS = _struct(
     ("started_at", _TIME),
     ("completed_at", _TIME),
     ("error_message", _TEXT),
+    ("commit_seq", _LONG),
 )
 
 STREAM_EVENT = _struct(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,7 +50,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="shelfledger-"), name)
 

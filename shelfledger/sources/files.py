@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfledger.functions.text import csv_null
-from shelfledger.schemas import PRICE_COLUMNS, PRICE_RAW, PRODUCT_COLUMNS, STREAM_EVENT
+from shelfledger.schemas import PRICE_COLUMNS, PRODUCT_COLUMNS, RAW_LINE, STREAM_EVENT
 
 
 def latest_file(spark: SparkSession, directory: str, pattern: str) -> str:
@@ -14,7 +15,7 @@ def latest_file(spark: SparkSession, directory: str, pattern: str) -> str:
     found = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
              .agg(F.max("path").alias("path")).first()["path"])
     if found is None:
-        raise FileNotFoundError(f"No files matching {pattern} found in {directory}.")
+        raise FileNotFoundError(f"{directory} holds nothing named {pattern}")
     return found
 
 
@@ -28,13 +29,26 @@ def _position(inner: Column | None = None) -> Column:
     return F.struct(*fields)
 
 
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """Price rows as text, so that a bad price survives to validation."""
-    rows = (spark.read.schema(PRICE_RAW).option("header", True).option("mode", "PERMISSIVE")
-            .option("escape", '"').csv(path))
+def read_prices(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Price rows as text, so that a bad price survives to validation.
+
+    Columns are found by the header's names, in any order; a missing one is an error, and so is a file
+    of the folder whose header differs from the first's. A record with too few or too many fields keeps
+    its line in ``raw_line``, which is null for the others. ``multi_line`` allows line breaks inside quotes, at the
+    price of one task per file.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    missing = [c for c in PRICE_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, RAW_LINE]])
+    rows = (reader.schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnPruning", False)  # else fields of columns that nobody reads are not counted
+            .option("columnNameOfCorruptRecord", RAW_LINE).csv(path))
     return rows.select(F.col("_metadata.file_name").alias("source_file"),
                        _position().alias("row_pos"),
-                       *[csv_null(F.col(c)).alias(c) for c in PRICE_COLUMNS])
+                       *[csv_null(F.col(c)).alias(c) for c in PRICE_COLUMNS], RAW_LINE)
 
 
 def _text(payload: Column, path: str) -> Column:

@@ -126,27 +126,59 @@ def runs(totals: DataFrame) -> DataFrame:
                          run_started(F.col("pipeline_run_id")).alias("started_at"))
 
 
-def write_landed_files(spark: SparkSession, sf_dir: str, directory: str) -> tuple[str, str]:
-    """Products as JSON lines and prices as CSV, in file order; returns the two paths."""
-    product_path, price_path = f"{directory}/products.json", f"{directory}/prices.csv"
+def _write_products(raw: DataFrame, path: str) -> None:
     nutriments = F.struct(F.col("energy_kcal_100g").alias("energy-kcal_100g"))
     document = F.struct(F.col("code"), F.col("product_name"), F.col("brands"),
                         F.col("categories_tags"), F.col("ingredients_text"),
                         nutriments.alias("nutriments"), F.col("last_modified_t"))
-    (raw_products(spark, sf_dir).sort("row_pos").select(F.to_json(document).alias("value"))
-     .write.text(product_path))
-    (raw_prices(spark, sf_dir).sort("row_pos").select(*PRICE_COLUMNS)
-     .write.option("header", True).csv(price_path))
+    raw.sort("row_pos").select(F.to_json(document).alias("value")).write.text(path)
+
+
+def _write_prices(raw: DataFrame, path: str) -> None:
+    raw.sort("row_pos").select(*PRICE_COLUMNS).write.option("header", True).csv(path)
+
+
+def write_landed_files(spark: SparkSession, sf_dir: str, directory: str) -> tuple[str, str]:
+    """Products as JSON lines and prices as CSV, in file order; returns the two paths."""
+    product_path, price_path = f"{directory}/products.json", f"{directory}/prices.csv"
+    _write_products(raw_products(spark, sf_dir), product_path)
+    _write_prices(raw_prices(spark, sf_dir), price_path)
     return product_path, price_path
 
 
+#: Times of the data of three loads into one root: two of the same day, then a backfill of an earlier one.
+LOAD_TIMES = (AS_OF, AS_OF, "2025-06-01T00:00:00Z")
+#: The quarters of all orders (by ``l_orderkey % 4``) in each load's price file; they overlap.
+LOAD_QUARTERS = ((0, 1), (1, 2), (2, 3, 0))
+
+
+def write_load_files(spark: SparkSession, sf_dir: str, directory: str) -> list[tuple[str, str]]:
+    """Product and price files of three loads.
+
+    The second product file has the odd products, of which one in seven lost its name and is rejected; the
+    third has these again, under a new name.
+    """
+    raw, key = raw_products(spark, sf_dir), F.col("row_pos")
+    name = F.col("product_name")
+    product_files = (raw, raw.filter(key % 2 == 1).withColumn("product_name", F.when(key % 14 == 3, "").otherwise(name)),
+                     raw.filter(key % 14 == 3).withColumn("product_name", F.lit("Back again")))
+    prices = raw_prices(spark, sf_dir)
+    paths = []
+    for k, (rows, quarters) in enumerate(zip(product_files, LOAD_QUARTERS)):
+        paths.append((f"{directory}/products_{k}.json", f"{directory}/prices_{k}.csv"))
+        _write_products(rows, paths[-1][0])
+        _write_prices(prices.filter((F.col("row_pos.l_orderkey") % 4).isin(*quarters)), paths[-1][1])
+    return paths
+
+
 def second_extract(raw: DataFrame) -> DataFrame:
-    """A later product file that lists every record, and then every record once more.
+    """A later product file that lists ten records of eleven, and then each of them once more.
 
     The second listing brings a new name, an empty one or no change in turn, so that a barcode may
     be accepted and then rejected, or the reverse.
     """
     key = F.col("row_pos")
+    raw = raw.filter(key % 11 != 5)
     again = raw.withColumns({
         "row_pos": key + 1_000_000_000_000,
         "product_name": F.when(key % 3 == 0, F.concat(F.lit("Renamed "), "brands"))
@@ -175,7 +207,7 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select(
         F.col("event_id").alias("_id"),
-        F.col("event_id").cast("string").alias("event_id"),
+        F.when(F.col("event_id") % 100 != 37, F.col("event_id").cast("string")).alias("event_id"),
         F.col("user_id").cast("string").alias("barcode"),
         F.col("event_type").alias("store_id"),
         F.col("value").alias("price"),
@@ -188,10 +220,9 @@ def stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_event_files(spark: SparkSession, sf_dir: str, directory: str, slices: int = 4) -> int:
     """Write the events as JSON lines, a slice of ids at a time; returns the files per slice.
 
-    Every twentieth event of a slice is sent again with the next one. Slices are complete one after
-    the other, so a stream that takes one slice per trigger sees no late first copy. There are more
-    than ``slices`` when a slice would exceed some files per core, and the id bounds prune the scan
-    of each.
+    Slices are complete one after the other, so a stream that takes one slice per trigger sees no late
+    first copy. A last slice sends every twentieth event once more. What is sent doesn't depend on the number of slices, which
+    grows where one would exceed some files per core; the id bounds prune the scan of each.
     """
     events = stream_source(spark, sf_dir)
     size = planner_bytes(events)
@@ -200,11 +231,8 @@ def write_event_files(spark: SparkSession, sf_dir: str, directory: str, slices:
     files = -(-size // (slices * FILE_BYTES))
     low, high = events.agg(F.min("_id"), F.max("_id")).first()
     step = (high - low) // slices + 1
-    for i in range(slices):
-        start = low + i * step
-        slice_with_last = events.filter(F.col("_id").between(start - step, start + step - 1))
-        sent = (F.col("_id") >= start) | (F.col("_id") % 20 == 0)
-        (slice_with_last.filter(sent).select(*STREAM_EVENT.fieldNames())
-         .repartition(files).write.mode("append").option("timestampFormat", JSON_TIME)
-         .json(directory))
+    parts = [events.filter(F.col("_id").between(low + i * step, low + (i + 1) * step - 1)) for i in range(slices)]
+    for part in [*parts, events.filter("_id % 20 = 0")]:
+        (part.select(*STREAM_EVENT.fieldNames()).repartition(files).write.mode("append")
+         .option("timestampFormat", JSON_TIME).json(directory))
     return files

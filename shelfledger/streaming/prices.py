@@ -10,16 +10,19 @@ Layout below ``out``::
     quarantine/batch_id=N/                      JSON lines, the invalid events with their error
     latest/changes/batch_id=N/                  latest price of the keys that batch touched
     latest/snapshot/batch_id=N/                 all keys up to and including batch N
+    progress/batch_id=N/                        rows that came in, and those that deduplication took out
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Event
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shelfledger.schemas import JSON_TIME, STREAM_EVENT
@@ -46,16 +49,17 @@ def deduplicate(events: DataFrame, mode: str = "global", delay: str = DELAY,
 
     With ``presplit`` copies of an id are first removed per input split, so an id that fills a
     large part of a batch is shared by as many tasks as there are splits. That state lives no
-    longer than the watermark delay.
+    longer than the watermark delay. A row without an id is no copy of another and gets a key of its own.
     """
-    marked = events.withWatermark("event_time", delay)
+    marked = events.withWatermark("event_time", delay).withColumn(
+        "_id", F.coalesce("event_id", F.concat(F.lit("\0"), F.uuid())))
     if presplit:
         marked = (marked.withColumn("_split", F.spark_partition_id())
-                  .dropDuplicatesWithinWatermark(["event_id", "_split"]).drop("_split"))
+                  .dropDuplicatesWithinWatermark(["_id", "_split"]).drop("_split"))
     if mode == "global":
-        return marked.dropDuplicates(["event_id"])
+        return marked.dropDuplicates(["_id"]).drop("_id")
     if mode == "watermark":
-        return marked.dropDuplicatesWithinWatermark(["event_id"])
+        return marked.dropDuplicatesWithinWatermark(["_id"]).drop("_id")
     raise ValueError(f"unknown dedup mode {mode}")
 
 
@@ -169,8 +173,11 @@ def start_price_stream(spark: SparkSession, source: str, out: str, checkpoint: s
                        snapshot_every: int = SNAPSHOT_EVERY) -> list[StreamingQuery]:
     """Start the stream; ``once`` drains what is there and stops, else it runs on.
 
-    ``interval`` spaces the micro-batches of a continuous run, for instance ``"30 seconds"``.
+    ``interval`` spaces the micro-batches of a continuous run, for instance ``"30 seconds"``. What each
+    batch took in is written below ``out`` as well, see ``stream_audit``.
     """
+    log = ProgressLog(spark, out)
+    spark.streams.addListener(log)
     events = stream_events(spark, source, files_per_trigger)
     validated = first_failure(deduplicate(events, dedup, delay, presplit), stores, limit)
     writer = (validated.writeStream.outputMode("append")
@@ -180,14 +187,24 @@ def start_price_stream(spark: SparkSession, source: str, out: str, checkpoint: s
         writer = writer.trigger(availableNow=True)
     elif interval:
         writer = writer.trigger(processingTime=interval)
-    return [writer.start()]
+    query = writer.start()
+    log.follow(query)
+    _logs[str(query.runId)] = log
+    return [query]
+
+
+_logs: dict[str, ProgressLog] = {}
 
 
 def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], once: bool) -> None:
-    """Wait for all queries of a drain, or for the first of a continuous run to end."""
+    """Wait for all queries of a drain, and their accounting, or for the first of a continuous run to end."""
     if once:
         for query in queries:
             query.awaitTermination()
+            log = _logs.pop(str(query.runId), None)
+            if log is not None:
+                log.wait()
+                spark.streams.removeListener(log)
     else:
         spark.streams.awaitAnyTermination()
 
@@ -199,20 +216,58 @@ PROGRESS = T.StructType([
 ])
 
 
-def stream_audit(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+class ProgressLog(StreamingQueryListener):
+    """Writes what each micro-batch of one query took in and left out, under its batch id, so the
+    counts outlive the query and its window of recent progress."""
+
+    def __init__(self, spark: SparkSession, out: str):
+        self._spark, self._out, self._failed = spark, out, None
+        self._id, self._ended = None, Event()
+
+    def follow(self, query: StreamingQuery) -> None:
+        self._id = query.id
+
+    def wait(self, timeout: float = 60) -> None:
+        """After the query ended: until its last progress is written."""
+        if not self._ended.wait(timeout):
+            raise RuntimeError("the progress of the stream was not written in time")
+        if self._failed:
+            raise RuntimeError("the progress of the stream could not be written") from self._failed
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if self._id is not None and str(progress.id) != str(self._id):
+            return
+        operators = progress.stateOperators
+        row = (progress.numInputRows, sum(op.numRowsDroppedByWatermark for op in operators),
+               sum(op.customMetrics.get("numDroppedDuplicateRows", 0) for op in operators),
+               sum(op.numRowsTotal for op in operators))
+        if not row[0] and not row[1]:
+            return  # a batch without rows, which only moves the watermark
+        try:
+            (self._spark.createDataFrame([row], T.StructType(PROGRESS.fields[1:])).coalesce(1)
+             .write.mode("overwrite").parquet(f"{self._out}/progress/batch_id={progress.batchId}"))
+        except Exception as error:  # raised by wait(), on the caller's thread
+            self._failed = error
+
+    def onQueryTerminated(self, event) -> None:
+        if self._id is None or str(event.id) == str(self._id):
+            self._ended.set()
+
+
+def stream_audit(spark: SparkSession, out: str) -> DataFrame:
     """Per micro-batch, what came in and what deduplication took out: late rows and copies.
 
     Input rows less these two are the valid and invalid rows of the batch, so no row goes
-    unaccounted. Read it after a drain, while the query's progress is still held.
+    unaccounted, over any number of batches and restarts.
     """
-    rows = []
-    for progress in query.recentProgress:
-        operators = progress["stateOperators"]
-        rows.append((progress["batchId"], progress["numInputRows"],
-                     sum(op["numRowsDroppedByWatermark"] for op in operators),
-                     sum(op["customMetrics"].get("numDroppedDuplicateRows", 0) for op in operators),
-                     sum(op["numRowsTotal"] for op in operators)))
-    return spark.createDataFrame(rows, PROGRESS)
+    return _batches(spark, f"{out}/progress", T.StructType(PROGRESS.fields[1:])).select(*PROGRESS.fieldNames())
 
 
 def validation_counts(spark: SparkSession, out: str) -> DataFrame:

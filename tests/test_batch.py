@@ -104,6 +104,48 @@ def test_retraction_may_be_switched_off(site):
     assert result.reconciled and site.price_ids() == [1, 2] and site.names() == {"1": "Tea"}
 
 
+def test_order_of_runs_is_their_publication(site):
+    """Neither equal nor earlier times of the data change what is newer."""
+    p1, p2 = (site.products(f"products_{k}.json", *rows) for k, rows in ((1, [tea("1"), tea("2")]), (2, [tea("1", ""), tea("2", "Second")])))
+    site.run(p1, site.prices("prices_1.csv", (1, "1", "s", 2), (2, "2", "s", 2)), 9)
+    site.run(p2, site.prices("prices_2.csv", (3, "2", "s", 2)), 9)
+    assert site.price_ids() == [2, 3] and site.names() == {"2": "Second"}
+    back = site.run(site.products("products_3.json", tea("1", "Back")), site.prices("prices_3.csv", (1, "1", "s", 4), (2, "2", "s", 2)), 2)
+    assert back.already_loaded == 1
+    assert site.price_ids() == [1, 2, 3] and site.names() == {"1": "Back", "2": "Second"}
+
+
+def test_a_stale_base_is_refused(site, monkeypatch):
+    p1, c1 = site.products("products_1.json", tea("1")), site.prices("prices_1.csv", (1, "1", "s", 2))
+    layout = batch.price_layout
+
+    def other_run_first(rows):
+        monkeypatch.setattr(batch, "price_layout", layout)
+        site.run(site.products("products_2.json", tea("2", "Other")), site.prices("prices_2.csv", (2, "2", "s", 3)), 5)
+        return layout(rows)
+    monkeypatch.setattr(batch, "price_layout", other_run_first)
+    with pytest.raises(batch.StaleBase):
+        site.run(p1, c1, 6)
+    assert site.names() == {"2": "Other"} and site.price_ids() == [2]
+    assert site.run(p1, c1, 6).reconciled and site.price_ids() == [1, 2]
+
+
+def test_csv_columns_are_found_by_name_and_broken_records_kept(site, spark):
+    path = site.dir / "prices_9.csv"
+    head = "barcode,event_id,price,store_id,promotion,stock_status,event_timestamp,note\n"
+    good = f"1,{uid(1)},2,s,False,in_stock,2025-01-01T00:00:00Z,x\n"
+    short = f"1,{uid(2)},2,s\n"
+    longer = f"1,{uid(3)},2,s,False,in_stock,2025-01-01T00:00:00Z,x,surplus\n"
+    path.write_text(head + good + short + longer)
+    result = site.run(site.products("products_1.json", tea("1")), str(path), 5)
+    assert result.reconciled and result.rejected_records == 2 and site.price_ids() == [1]
+    kept = {r["raw_record"] for r in batch.quarantine(spark, site.root).collect()}
+    assert kept == {short.strip(), longer.strip()}
+    path.write_text("barcode,price\n1,2\n")
+    with pytest.raises(ValueError, match="event_id"):
+        site.run(site.products("products_1.json", tea("1")), str(path), 6)
+
+
 def test_latest_files_and_reviewer(site, spark):
     site.products("products_1.json", tea("9"))
     site.products("products_2.json", tea("1"), tea("2"))

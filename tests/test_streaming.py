@@ -33,7 +33,7 @@ class Feed:
             self.spark, str(self.root / "in"), self.out, str(self.root / "checkpoint"), STORES,
             once=True, **options)
         stream.supervise(self.spark, queries, once=True)
-        return stream.stream_audit(self.spark, queries[0])
+        return stream.stream_audit(self.spark, self.out)
 
     @property
     def out(self):
@@ -75,14 +75,13 @@ def test_duplicates_late_rows_and_restart(feed, presplit):
     feed.land(event(1, 0), event(2, 1, price=-1.0), event(1, 0), event(3, 2, store_id="s2", price=9.0))
     feed.land(event(4, 60, price=3.0), event(1, 60))
     feed.land(event(5, 90, price=4.0))
-    first = feed.drain(presplit=presplit)
+    feed.drain(presplit=presplit)
     assert feed.valid() == ["e1", "e3", "e4", "e5"]
     feed.land(event(6, 0, price=7.0), event(4, 91), event(7, 91, price=5.0))  # e6 is late
-    second = feed.drain(presplit=presplit)
+    progress = feed.drain(presplit=presplit)
     assert feed.valid() == ["e1", "e3", "e4", "e5", "e7"]
     assert feed.invalid() == [("e2", "invalid price")]
     assert feed.latest() == {("1", "s1"): 5.0, ("1", "s2"): 9.0}
-    progress = first.unionByName(second)
     total = progress.selectExpr("sum(input_rows)", "sum(late_rows)", "sum(duplicate_rows)").first()
     assert tuple(total) == (10, 1, 3)
     counts = stream.validation_counts(feed.spark, feed.out).selectExpr("sum(valid_rows)", "sum(invalid_rows)").first()
@@ -90,10 +89,22 @@ def test_duplicates_late_rows_and_restart(feed, presplit):
 
 
 def test_events_without_id_or_time(feed):
-    feed.land(event(1, event_id=None), event(2, event_time=None), event(3))
+    feed.land(event(1, event_id=None), event(2, event_time=None), event(3), event(1, event_id=None))
+    feed.land(event(1, event_id=None))
     feed.drain()
     assert feed.valid() == ["e3"]
-    assert feed.invalid() == [("", "missing event_id"), ("e2", "missing event_time")]
+    assert feed.invalid() == [("", "missing event_id")] * 3 + [("e2", "missing event_time")]
+
+
+def test_accounting_of_more_batches_than_spark_remembers(feed):
+    feed.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+    try:
+        for i in range(12):
+            feed.land(*[event(4 * i + k, i) for k in range(4)], event(0, i))
+        total = feed.drain().selectExpr("count(*)", "sum(input_rows)", "sum(late_rows + duplicate_rows)").first()
+    finally:
+        feed.spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert tuple(total) == (12, 60, 12) and len(feed.valid()) == 48
 
 
 def test_bounded_state_forgets_old_ids(feed):
