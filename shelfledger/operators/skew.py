@@ -10,9 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+NULL_SALTS = 1 << 16
 HOT_ROWS = 2_000_000
 
 
@@ -21,42 +19,29 @@ def planner_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` is known to be small enough to send to every executor.
-
-    The optimizer's own estimate settles it when it is low. It is too high for most derived
-    frames, whose rows and bytes are then measured.
-    """
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    threshold = int(limit.rstrip("bB"))
-    if threshold < 0:
-        return False
-    if planner_bytes(df) <= threshold:
-        return True
-    size = df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
-    return size["rows"] <= rows and (size["bytes"] or 0) <= BROADCAST_BYTES
-
-
 def salt(spread: Sequence[str], salts: int) -> Column:
     """Salt from columns that identify the row, so that a task retry repeats it."""
     return F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
 
 
 def join_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str, spread: Sequence[str],
-                rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join a fact table to a table with one row per ``key``.
-
-    A lookup that is checked to be small is broadcast. A larger one is repeated ``salts`` times
-    and joined on key and salt, so that a hot key (or the null key) is shared by ``salts`` tasks.
-    ``spread`` names columns that identify a fact row.
+                salts: int = NULL_SALTS) -> DataFrame:
+    """Left or anti join of a fact table to a table with one row per ``key``.
+
+    It is a plain join: the planner broadcasts a lookup whose written size is small, the adaptive plan one that
+    proves small at run time, and a shuffled join splits partitions that a hot key makes large. The
+    fact side is the outer one, so a split repeats only the few lookup rows of that partition. Rows with a
+    null key match nothing and would all meet in one task; they are dealt by ``spread``, columns that
+    identify a fact row. No job runs while the plan is built.
     """
-    if is_small(lookup, rows):
-        return facts.join(F.broadcast(lookup), key, how)
-    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (facts.withColumn("_salt", salt(spread, salts))
-            .join(salted, [key, "_salt"], how)
-            .drop("_salt"))
+    if how not in ("left", "left_anti"):
+        raise ValueError(f"join_lookup does not join {how}")
+    own_key = F.concat(F.lit("\0"), salt(spread, salts).cast("string"))
+    dealt = facts.withColumn("_key", F.coalesce(F.col(key), own_key))
+    found = lookup.withColumnRenamed(key, "_found")
+    # the second condition keeps a dealt row from a lookup row that should be named like its key
+    joined = dealt.join(found, (F.col("_key") == F.col("_found")) & F.col(key).isNotNull(), how)
+    return joined.drop("_key", "_found")
 
 
 def join_counted(facts: DataFrame, groups: DataFrame, key: str, count: str, spread: Sequence[str],

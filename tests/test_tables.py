@@ -41,31 +41,33 @@ def test_retract(spark):
     assert rows(keyed.retract(base, keys(spark, "k", "b", "z"), "k", ["id"]), "id") == [("a", 1)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_lookup_join_equals_plain_join(spark, how, threshold):
     facts = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(
         F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     lookup = spark.range(0, 1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("x"))
     lookup = lookup.unionByName(spark.sql("SELECT 'hot' AS k, 2 AS x"))
-    expected = rows(facts.join(lookup, "k", how), "id")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    expected = rows(facts.join(lookup, "k", how).select("id", *(["x"] if how == "left" else [])), "id")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        salted = skew.join_lookup(facts, lookup, "k", how, ["id"], salts=8)
-        assert "_salt" in salted._jdf.queryExecution().toString()
-        assert rows(salted.select(*facts.join(lookup, "k", how).columns), "id") == expected
+        joined = skew.join_lookup(facts, lookup, "k", how, ["id"])
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs
+        assert joined.columns == [*facts.columns, *(["x"] if how == "left" else [])]
+        assert rows(joined.select("id", *(["x"] if how == "left" else [])), "id") == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_size_check_counts_when_the_estimate_is_high(spark):
-    big = spark.range(300_000).selectExpr("id", "repeat('x', 100) AS pad", "id % 10 AS g")
-    few = big.groupBy("g").agg(F.max("pad").alias("pad"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+def test_lookup_join_shuffles_each_side_once(spark):
+    facts, lookup = spark.range(100).selectExpr("id", "string(id % 7) AS k"), keys(spark, "k", "1", "2")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert skew.is_small(few, 100) and not skew.is_small(few, 9)
-        assert not skew.is_small(big, 100)
+        plan = skew.join_lookup(facts, lookup, "k", "left", ["id"])._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and "Generate explode" not in plan
 
 
 # -- audit ---------------------------------------------------------------------------------------
