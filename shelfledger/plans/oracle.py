@@ -512,12 +512,16 @@ def _statements() -> dict[str, str]:
         ("price_not_null", "p IS NULL"), ("price_positive", "p <= 0"),
         ("stock_status_not_null", "stock_status IS NULL"),
         ("event_timestamp_not_null", "t IS NULL")], counted) + " UNION ALL " + _expect("products", [
-            ("barcode_primary_key", "n > 1"), ("barcode_not_null", "barcode IS NULL"),
+            ("barcode_primary_key", "barcode IS NOT NULL AND n > 1"), ("barcode_not_null", "barcode IS NULL"),
             ("product_name_not_null", "product_name IS NULL")],
-            "(SELECT *, count(*) OVER (PARTITION BY barcode) AS n FROM products)") \
+            """(SELECT *, count(*) OVER (PARTITION BY barcode) AS n FROM (
+                SELECT CASE WHEN k % 50 <> 11 THEN barcode END AS barcode,
+                       CASE WHEN k % 50 <> 9 THEN product_name END AS product_name
+                FROM (SELECT *, CAST(barcode AS BIGINT) AS k FROM products)
+                UNION ALL SELECT barcode, product_name FROM products WHERE CAST(barcode AS BIGINT) % 50 = 7))""") \
         + " UNION ALL " + _expect("verdicts", [
-            ("status_enum", "accepted IS NULL"), ("confidence_range", "accepted IS NULL"),
-            ("validator_not_null", "accepted IS NULL")], "decided_products")
+            ("status_enum", "m = 3"), ("confidence_range", "m = 5"),
+            ("validator_not_null", "m = 7")], "(SELECT row_pos % 40 AS m FROM decided_products)")
     s["source_freshness"] = tiers + f""",
         newest AS (
             SELECT 'silver.prices' AS source, max({started}) AS max_loaded_at FROM prices

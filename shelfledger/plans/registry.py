@@ -374,6 +374,7 @@ def gold_not_null_tests(spark, sf_dir):
 
 @query
 def constraint_violations(spark, sf_dir):
+    """The tables' constraints over raw prices and over products and verdicts with seeded faults."""
     w = warehouse(spark, sf_dir)
     typed = prices.typed_prices(mapping.raw_prices(spark, sf_dir)).select(
         "row_pos", F.col("event_key").alias("event_id"), F.col("barcode_key").alias("barcode"),
@@ -383,8 +384,8 @@ def constraint_violations(spark, sf_dir):
                           {"products": (w.products, "barcode"), "stores": (w.stores, "store_id")},
                           ["row_pos"])
     verdicts = products.verdict_rows(w.decided_products, F.col(_RUN), mapping.AS_OF)
-    return (found.unionByName(quality.check(w.products, quality.PRODUCT_CONSTRAINTS, "products"))
-            .unionByName(quality.check(verdicts, quality.VERDICT_CONSTRAINTS, "verdicts")))
+    return (found.unionByName(quality.check(mapping.broken_products(w.products), quality.PRODUCT_CONSTRAINTS, "products"))
+            .unionByName(quality.check(mapping.broken_verdicts(verdicts), quality.VERDICT_CONSTRAINTS, "verdicts")))
 
 
 @query

@@ -204,6 +204,24 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("toxic") == 1, 0.95).otherwise(0.80).alias("confidence"))
 
 
+def broken_products(products: DataFrame) -> DataFrame:
+    """A product table that breaks its constraints: repeated and missing barcodes, missing names."""
+    key = F.col("barcode").cast("long") % 50
+    repeated = products.filter(key == 7)
+    return products.withColumns({
+        "product_name": F.when(key != 9, F.col("product_name")),
+        "barcode": F.when(key != 11, F.col("barcode"))}).unionByName(repeated)
+
+
+def broken_verdicts(verdicts: DataFrame) -> DataFrame:
+    """Verdicts that break their constraints: another status, a confidence above 1, no validator."""
+    key = F.col("barcode").cast("long") % 40
+    return verdicts.withColumns({
+        "status": F.when(key == 3, "maybe").otherwise(F.col("status")),
+        "confidence": F.when(key == 5, F.lit(1.2)).otherwise(F.col("confidence").cast("double")),
+        "validator": F.when(key != 7, F.col("validator"))})
+
+
 def stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select(
         F.col("event_id").alias("_id"),

@@ -97,6 +97,15 @@ def test_a_failed_run_changes_nothing(site, spark, monkeypatch):
     assert set(states) == {"SUCCESS", "FAILED"} and "nope" in states["FAILED"]
 
 
+def test_broken_constraints_are_not_published(site, spark, monkeypatch):
+    broken = batch.prices.accepted_prices
+    monkeypatch.setattr(batch.prices, "accepted_prices",
+                        lambda decided, at: broken(decided, at).selectExpr("*").withColumn("store_id", batch.F.lit("nowhere")))
+    with pytest.raises(batch.ConstraintError, match="store_id_references_stores broken by 1 rows"):
+        site.run(site.products("products_1.json", tea("1")), site.prices("prices_1.csv", (1, "1", "s", 2)), 5)
+    assert site.price_ids() == [] and site.names() == {}
+
+
 def test_retraction_may_be_switched_off(site):
     site.run(site.products("products_1.json", tea("1")), site.prices("prices_1.csv", (1, "1", "s", 2)), 5)
     result = site.run(site.products("products_2.json", tea("1", "")),
