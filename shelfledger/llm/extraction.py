@@ -41,6 +41,9 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^<>\"']|\"[^\"<]*+\"|'[^'<]*+')*+|[^>]*+)(?:>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: What a wrapper says about its parts, and the heading part of an article.
+_LAYOUT = re.compile(r"(?:^|(?<=\s))\S*(?:has|no|with|without)[-_]\S*", re.I)
+_OWN_HEADER = re.compile(r"(?:^|(?<=\s))(?:\w+[-_])?header(?=\s|$)", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 
 FEATURES = ("furniture", "in_content", "page_has_content", "words", "link_density", "words_before",
@@ -130,6 +133,9 @@ def fit(labelled=LABELLED) -> Tree:
 def _standing(tag: str, attrs: str, furniture: bool, level: int) -> tuple[bool, int]:
     """Whether a container is furniture of the page, and how clearly it is the content's."""
     names = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)) if "=" in attrs else ""
+    names = _LAYOUT.sub(" ", names)
+    if level >= 2:  # the article's own heading
+        names = _OWN_HEADER.sub(" ", names)
     if tag in FURNITURE_TAGS or (tag == "header" and level < 3):
         furniture = True
     elif attrs and (_HIDDEN.search(attrs) or (names and tag not in ("article", "main", "body", "html")
