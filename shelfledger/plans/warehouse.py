@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfledger.operators import audit, prices, products
 from shelfledger.plans import batch
-from shelfledger.session import scratch_dir, stage
+from shelfledger.session import configure, scratch_dir, stage
 from shelfledger.sources import mapping
 from shelfledger.streaming import prices as stream
 
@@ -91,17 +91,15 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 def _drain(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_dir(spark, "lake")
     files = mapping.write_event_files(spark, sf_dir, f"{root}/incoming")
-    # the number of state partitions is fixed for the life of a stream: no more than there are cores
+    # the number of state partitions is fixed for the life of a stream: no more than there are cores, and
+    # in a session of its own, so that the caller's settings stay as they are
+    own = configure(spark.newSession())
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions",
-                   min(int(partitions), spark.sparkContext.defaultParallelism))
-    try:
-        queries = stream.start_price_stream(
-            spark, f"{root}/incoming", f"{root}/lake", f"{root}/checkpoint", mapping.STREAM_STORES,
-            once=True, files_per_trigger=files, limit=mapping.STREAM_LIMIT)
-        stream.supervise(spark, queries, once=True)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    own.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
+    queries = stream.start_price_stream(
+        own, f"{root}/incoming", f"{root}/lake", f"{root}/checkpoint", mapping.STREAM_STORES,
+        once=True, files_per_trigger=files, limit=mapping.STREAM_LIMIT)
+    stream.supervise(own, queries, once=True)
     return root
 
 

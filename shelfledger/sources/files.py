@@ -10,6 +10,10 @@ from shelfledger.functions.text import csv_null
 from shelfledger.schemas import PRICE_COLUMNS, PRODUCT_COLUMNS, RAW_LINE, STREAM_EVENT
 
 
+#: Largest product document that one task may read.
+DOCUMENT_BYTES = 256 * 1024 * 1024
+
+
 def latest_file(spark: SparkSession, directory: str, pattern: str) -> str:
     """Path of the file whose name sorts last; an error when none matches."""
     found = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
@@ -76,7 +80,7 @@ def read_products(spark: SparkSession, path: str, lines: bool = False, required:
     """Product records, flattened.
 
     A file is one document with a ``products`` list or, with ``lines``, one record per line; the
-    latter splits over tasks and is the layout for large extracts. ``required`` makes a document
+    latter splits over tasks and is the layout for large extracts: a document above DOCUMENT_BYTES is an error. ``required`` makes a document
     without the list an error, otherwise it counts as empty.
     """
     name = F.col("_metadata.file_name").alias("source_file")
@@ -84,6 +88,9 @@ def read_products(spark: SparkSession, path: str, lines: bool = False, required:
         rows = spark.read.option("singleVariantColumn", "payload").json(path)
         documents = rows.select(name, _position(F.lit(0)).alias("row_pos"), "payload")
     else:
+        largest = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n")).first()["n"]
+        if (largest or 0) > DOCUMENT_BYTES:
+            raise ValueError(f"a document of {largest} bytes is read by one task; write one record per line instead")
         body = spark.read.schema("products array<variant>").option("multiLine", True).json(path)
         products = F.col("products")
         if required:

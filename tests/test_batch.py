@@ -5,6 +5,7 @@ import pytest
 
 from frames import keys, uid
 from shelfledger.plans import batch
+from shelfledger.sources import files
 
 HEADER = "event_id,barcode,store_id,price,promotion,stock_status,event_timestamp\n"
 
@@ -106,6 +107,13 @@ def test_broken_constraints_are_not_published(site, spark, monkeypatch):
     assert site.price_ids() == [] and site.names() == {}
 
 
+def test_large_documents_must_be_lines(site, spark, monkeypatch):
+    path = site.products("products_1.json", tea("1"))
+    monkeypatch.setattr(files, "DOCUMENT_BYTES", 10)
+    with pytest.raises(ValueError, match="one record per line"):
+        files.read_products(spark, path)
+
+
 def test_retraction_may_be_switched_off(site):
     site.run(site.products("products_1.json", tea("1")), site.prices("prices_1.csv", (1, "1", "s", 2)), 5)
     result = site.run(site.products("products_2.json", tea("1", "")),
