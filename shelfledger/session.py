@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # texts are long: what a Python worker and its JVM hold of a batch is bounded by bytes, not by rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
     # the ids that a long-lived stream remembers outgrow the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
