@@ -3,8 +3,10 @@
 A shingle's weight is how often a text has it. Its arrivals are a Poisson process with that rate, each
 falling on a random register; a register keeps its earliest arrival. A shingle stops as soon as its
 next arrival is later than all registers. Two registers agree with the probability Jaccard of the
-texts. Equal texts are one; texts that agree in a band meet at the first and the last text of the
-band's bucket; what meets is compared exactly, and the links are closed to classes.
+texts. Equal texts are one. Texts that agree in a band are in one bucket, where each meets the bucket's
+first; what meets is compared exactly, and the links are closed to classes. To begin with a text meets only
+one of these firsts, which is enough for most; then, where a bucket still holds several classes, its texts are
+compared across them: all of them if they are few, else with two texts of each of their buckets.
 """
 
 from __future__ import annotations
@@ -22,8 +24,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-#: Further rounds at most, in which buckets that still hold several classes meet at another text.
-ROUNDS = 3
+#: Texts of a bucket that are all compared with each other, where they are not of one class yet.
+FEW = 32
+#: Rounds in which texts of buckets with several classes meet others: first the first text of each of their
+#: buckets, and all texts where these are few, then another text of each.
+ROUNDS = 2
+#: Most longs of the table of bits that keeps texts from being shuffled needlessly.
+SIEVE = 1 << 20
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
 
@@ -122,24 +129,57 @@ def _compare(batches):
                                          ["a", "b", "similarity"])
 
 
+def _sieved(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with these ids and some others, so that the join that follows shuffles few texts.
+
+    Ids set bits of a table of at most SIEVE longs, which is all that is broadcast.
+    """
+    words = min(SIEVE, 1 << max(10, ids.count().bit_length()))
+    hashed = F.xxhash64("doc_id")
+    word, bit = F.pmod(hashed, F.lit(words)), F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int")
+    bits = ids.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    return docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word").filter(
+        F.call_function("getbit", "bits", "bit") == 1).drop("word", "bit", "bits")
+
+
 def verify(docs: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of ids whose texts are at least so similar, with their similarity."""
     needs = pairs.select(F.col("a").alias("doc_id"), "a", "b").unionByName(
         pairs.select(F.col("b").alias("doc_id"), "a", "b"))
-    both = needs.join(docs.select("doc_id", "text"), "doc_id").groupBy("a", "b").agg(
+    texts = _sieved(docs.select("doc_id", "text"), needs.select("doc_id"))
+    both = needs.join(texts, "doc_id").groupBy("a", "b").agg(
         F.max(F.when(F.col("doc_id") == F.col("a"), F.col("text"))).alias("a_text"),
         F.max(F.when(F.col("doc_id") == F.col("b"), F.col("text"))).alias("b_text"))
     return both.mapInArrow(_compare, "a long, b long, similarity double").filter(F.col("similarity") >= least)
 
 
-def _meetings(buckets: DataFrame, place: str) -> DataFrame:
-    """Pairs of every text of a bucket with the bucket's first and last by ``place``; as many rows as
-    two per text, whatever the size of the bucket."""
-    ends = buckets.groupBy("band").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
-    met = buckets.join(ends, "band")
-    return met.select(F.col("doc_id"), F.explode(F.array("first", "last")).alias("other")).select(
-        F.col("doc_id"), F.col("other.doc_id").alias("other")).filter("doc_id != other").select(
-        F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+def _meetings(buckets: DataFrame, once: bool = False) -> DataFrame:
+    """Pairs of every text of a bucket with the bucket's first by ``place``, or with ``once`` only with the
+    first of all firsts that the text meets; fewer rows than texts, whatever the size of the bucket."""
+    ends = buckets.groupBy("band").agg(F.min("place").alias("first"))
+    met = buckets.join(ends, "band").filter("doc_id != first.doc_id")
+    if once:
+        met = met.groupBy("doc_id").agg(F.min("first").alias("first"))
+    return met.select(F.least("doc_id", "first.doc_id").alias("a"),
+                      F.greatest("doc_id", "first.doc_id").alias("b")).distinct()
+
+
+def _pairs_of_few(inside: DataFrame) -> DataFrame:
+    """All pairs of texts of different classes in buckets of at most FEW texts."""
+    members = inside.groupBy("band").agg(F.collect_list(F.struct("doc_id", "component")).alias("m"))
+    pairs = F.flatten(F.transform("m", lambda x: F.transform(
+        F.filter("m", lambda y: (x["doc_id"] < y["doc_id"]) & (x["component"] != y["component"])),
+        lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b")))))
+    return members.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after further links (a, b, a_class, b_class): only the classes they join are closed anew."""
+    joined = components(links.select(F.col("a_class").alias("u"), F.col("b_class").alias("v"))).toDF("component", "new")
+    alone = joined.select(F.col("component").alias("node"), "component").join(
+        found.select(F.col("component")).distinct(), "component", "left_anti")
+    every = found.unionByName(alone.select("node", "component"))
+    return every.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -161,28 +201,30 @@ def classes(docs: DataFrame) -> DataFrame:
     crowded = banded.groupBy("band").count().filter("count > 1").select("band")
     buckets = stage(banded.join(crowded, "band"), "buckets")
     place = lambda salt: F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id")
-    tested = stage(_meetings(buckets.withColumn("place", place(0)), "place"), "pairs")
+    tested = stage(_meetings(buckets.withColumn("place", place(0)), once=True), "pairs")
     links = stage(verify(rows, tested), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = stage(components(links), "classes")
-    for turn in range(1, ROUNDS + 1):
-        # buckets that hold several classes and more texts than have met each other
+    for turn in range(ROUNDS):
         held = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id"))
-        open_ = held.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"),
-                                         F.max("component").alias("hi")).filter("n > 3 AND lo < hi").select("band")
-        inside = held.join(open_, "band").withColumn("place", place(turn))
-        known = found.select(F.col("node"), F.col("component"))
-        more = _meetings(inside, "place").join(tested, ["a", "b"], "left_anti")
-        apart = more.join(known.toDF("a", "a_class"), "a", "left").join(known.toDF("b", "b_class"), "b", "left").filter(
-            F.coalesce("a_class", "a") != F.coalesce("b_class", "b")).select("a", "b")
-        apart = stage(apart, "pairs")
-        if apart.isEmpty():
-            break
-        new = stage(verify(rows, apart), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        # buckets that hold several classes; the others stay closed in later rounds
+        sizes = held.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"),
+                                         F.max("component").alias("hi")).filter("lo < hi").select("band", "n")
+        inside = stage(held.join(sizes, "band"), "buckets")
+        buckets = inside.select("doc_id", "band")
+        placed = inside.withColumn("place", place(turn))
+        if turn == 0:
+            more = _meetings(placed).unionByName(_pairs_of_few(inside.filter(F.col("n") <= FEW)))
+        else:
+            more = _meetings(placed.filter(F.col("n") > FEW))
+        apart = more.join(found.toDF("a", "a_class"), "a", "left").join(found.toDF("b", "b_class"), "b", "left").withColumns(
+            {"a_class": F.coalesce("a_class", "a"), "b_class": F.coalesce("b_class", "b")}).filter("a_class != b_class")
+        apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        new = stage(verify(rows, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
         if new.isEmpty():
             break
-        tested, links = tested.unionByName(apart), links.unionByName(new)
-        found = stage(components(links), "classes")
+        tested = tested.unionByName(apart.select("a", "b"))
+        found = stage(_merged(found, new), "classes")
     of_text = texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "text_key", F.coalesce("component", "doc_id").alias("class_id"))
     return sketched.select("doc_id", "text_key").join(of_text, "text_key").select("doc_id", "text_key", "class_id")
