@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from shelfledger.llm import decontamination, languages, near_duplicates, packing, substrings
+from shelfledger.llm.common import configured
 from shelfledger.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -17,13 +18,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-STAGES = [
+STAGES = [(name, configured(function)) for name, function in (
     ("languages", languages.stage_languages),
     ("near_duplicates", near_duplicates.stage_near_duplicates),
     ("substrings", substrings.stage_substrings),
     ("decontamination", decontamination.stage_decontamination),
     ("packing", pack_sequences),
-]
+)]
 
 #: SQL can express neither the sketches nor the tokenizer; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfledger.session import configure
+
 #: Bytes of text that one numpy pass handles; it bounds a worker's memory. A longer text is a pass of its own.
-SLICE = 2 << 20
+SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_2 = 0xC2B2AE3D27D4EB4F
 
@@ -24,6 +27,14 @@ def fold(doc_id: str | Column, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(parts)), F.lit(0))
 
 
+def configured(function: Callable) -> Callable:
+    """The function of a session, with the engine's settings (bounded Arrow batches above all) applied first."""
+    @wraps(function)
+    def run(spark, *arguments):
+        return function(configure(spark), *arguments)
+    return run
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """Id, text and named columns alone, so that other columns may have any name."""
     return docs.select("doc_id", "text", *more)

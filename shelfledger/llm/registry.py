@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfledger.llm import (decontamination, extraction, fingerprints, languages, near_duplicates, packing,
                              sharding, substrings, token_counts, toxicity)
+from shelfledger.llm.common import configured
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_minhash_fingerprints": fingerprints.query,
         "op2_extract_pages": extraction.query,
         "op3_hilbert_shards": sharding.query,
@@ -23,7 +24,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_repeated_substrings": substrings.query,
         "op10_pack_sequences": packing.query,
     }
+    return {name: configured(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_repeated_substrings": substrings.SQL}

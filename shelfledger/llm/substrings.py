@@ -212,8 +212,11 @@ def repeats(docs: DataFrame, scale: int | None = None) -> DataFrame:
     mixed = several.filter("NOT uniform").groupBy("minimiser", "segment").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id", "key", "at", "windows")])
     mixed = stage(mixed, "segments")
-    crowded = mixed.groupBy("minimiser").count().withColumn("crowded", F.col("count") > SHARD).drop("count")
-    wanted = mixed.join(crowded, "minimiser").groupBy("id", "key").agg(F.collect_list(
+    # written, so that the join deals both sides anew and can split a minimiser of very many segments
+    crowded = stage(mixed.groupBy("minimiser").count().filter(F.col("count") > SHARD).select("minimiser"), "crowded")
+    marked = mixed.join(crowded.withColumn("many", F.lit(True)), "minimiser", "left").withColumn(
+        "crowded", F.coalesce("many", F.lit(False)))
+    wanted = marked.groupBy("id", "key").agg(F.collect_list(
         F.struct("minimiser", "segment", "n", "at", "windows", "crowded")).alias("wanted"))
     parts = stage(docs.join(wanted, ["id", "key"]).dropDuplicates(["id", "key"]).select("text", "wanted").mapInArrow(
         _cut(), "minimiser long, segment long, n long, words binary, bit int, window long"), "reference")
@@ -281,6 +284,25 @@ def query(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, b, array_to_string(w[b:b + 34], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS b FROM words)),
+repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+covered AS (
+    SELECT DISTINCT doc_id, unnest(range(b, b + 35)) AS place FROM windows WHERE s IN (FROM repeated)),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words)
+    ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
 def stage_substrings(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages; a text that loses nothing stays as it was."""
     kept = remove_repeats(docs, "text", "lang", "source", "n_chars")

@@ -32,7 +32,7 @@ RATE = 0.5
 DECAY = 1e-4
 TOXIC_AT = 0.7
 #: Bytes of text that are tagged together.
-TOGETHER = 6 << 20
+TOGETHER = 3 << 20
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
