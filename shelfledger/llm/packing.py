@@ -39,31 +39,32 @@ _SIMPLE = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 _BEFORE_MARK = re.compile(rb"([a-z0-9])(?=[!-/:-@\[-`{-~])")
 
 
-class _Words(dict):
+class _Words:
     """Ids of a word as little-endian bytes; the vocabulary never merges over ASCII white space."""
 
     def __init__(self, path: str):
-        super().__init__()
+        self.known: dict[bytes, bytes] = {}
         self.model, self.letters = tokenizer(path), byte_letters()
 
     def of(self, text: bytes) -> bytes:
         text = text.lower()  # ASCII only, as the vocabulary does first
         # a special token's string must stay in one word
         words = text.split() if b"<|" in text else _BEFORE_MARK.sub(rb"\1 ", text).split()
-        if len(self) > REMEMBERED:
-            self.clear()
-        missing = set(words).difference(self)
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        missing = set(words).difference(known)
         if missing:
             merges, letters, other = self.model.model, self.letters, []
             for word in missing:
                 if _SIMPLE.fullmatch(word):
                     found = [t.id for t in merges.tokenize(word.decode("latin-1").translate(letters))]
-                    self[word] = array("I", found).tobytes()
+                    known[word] = array("I", found).tobytes()
                 else:
                     other.append(word)
             encoded = self.model.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-            self.update(zip(other, (array("I", e.ids).tobytes() for e in encoded)))
-        return b"".join(map(self.__getitem__, words))
+            known.update(zip(other, (array("I", e.ids).tobytes() for e in encoded)))
+        return b"".join(map(known.__getitem__, words))
 
 
 def _pieces(path: str, end_id: int, length: int):
