@@ -6,7 +6,9 @@ next arrival is later than all registers. Two registers agree with the probabili
 texts. Equal texts are one. Texts that agree in a band are in one bucket, where each meets the bucket's
 first; what meets is compared exactly, and the links are closed to classes. To begin with a text meets only
 one of these firsts, which is enough for most; then, where a bucket still holds several classes, its texts are
-compared across them: all of them if they are few, else with two texts of each of their buckets.
+compared across them: all of them if they are few, else first with two texts of each of their buckets. What large
+buckets still hold of several classes is compared in full, block by block, so that every pair of texts that
+agrees in a band is either of one class or compared.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import mix, powers, ragged, run_hashes, text_slices, word_bounds
+from shelfledger.llm.common import mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds
 from shelfledger.llm.components import components
 from shelfledger.session import stage
 
@@ -27,8 +29,12 @@ REGISTERS = BANDS * ROWS
 #: Texts of a bucket that are all compared with each other, where they are not of one class yet.
 FEW = 32
 #: Rounds in which texts of buckets with several classes meet others: first the first text of each of their
-#: buckets, and all texts where these are few, then another text of each.
+#: buckets, and all texts where these are few, then another text of each. They only leave less to the blocks.
 ROUNDS = 2
+#: Texts and bytes that a block of a large bucket aims at; a longer text is a block of its own.
+BLOCK, BLOCK_BYTES = 64, 1 << 19
+#: Shingles of two blocks that one matrix product covers.
+COLUMNS = 1 << 12
 #: Most longs of the table of bits that keeps texts from being shuffled needlessly.
 SIEVE = 1 << 20
 #: Stands for a null id in joins.
@@ -85,15 +91,15 @@ def band_hashes(sketches: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 def _sketch_rows(batches):
     for batch in batches:
-        bands = []
+        bands, (_, begin) = [], text_bytes(batch.column("text"))
         for lo, hi, data, offsets in text_slices(batch.column("text")):
             doc, element, weight = shingles(data, offsets)
             own = band_hashes(sketch(doc, element, weight, hi - lo))
             none = np.bincount(doc, minlength=hi - lo) == 0
             bands += [None if empty else row for row, empty in zip(own, none)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "text_key", "bands"])
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(bands, pa.list_(pa.int64())),
+             pa.array(np.diff(begin))], ["doc_id", "text_key", "bands", "bytes"])
 
 
 def probability_jaccard(a: np.ndarray, a_weight: np.ndarray, b: np.ndarray, b_weight: np.ndarray) -> float:
@@ -164,6 +170,15 @@ def _meetings(buckets: DataFrame, once: bool = False) -> DataFrame:
                       F.greatest("doc_id", "first.doc_id").alias("b")).distinct()
 
 
+def _open(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """The texts of buckets that hold several classes, each with its class and the size n of the bucket."""
+    held = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id"))
+    sizes = held.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"),
+                                     F.max("component").alias("hi")).filter("lo < hi").select("band", "n")
+    return held.join(sizes, "band")
+
+
 def _pairs_of_few(inside: DataFrame) -> DataFrame:
     """All pairs of texts of different classes in buckets of at most FEW texts."""
     members = inside.groupBy("band").agg(F.collect_list(F.struct("doc_id", "component")).alias("m"))
@@ -173,6 +188,110 @@ def _pairs_of_few(inside: DataFrame) -> DataFrame:
     return members.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
 
 
+def _groups_of_blocks(inside: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts (band, doc_id, component, bytes) with the group and block they are dealt to, and the groups with
+    their number of blocks. A class that fills a block has a group of its own in a bucket; the others share one."""
+    key = ["band", "own", "kind"]
+    sizes = inside.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).withColumns(
+        {"own": F.col("n") >= BLOCK, "kind": F.when(F.col("n") >= BLOCK, F.col("component")).otherwise(F.lit(0))})
+    groups = sizes.groupBy(*key).agg(F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("parts"))
+    dealt = inside.join(sizes.select("band", "component", "own", "kind"), ["band", "component"]).join(groups, key).withColumn(
+        "block", F.pmod(F.xxhash64("doc_id"), "parts")).drop("parts")
+    return dealt, groups
+
+
+def _tasks(groups: DataFrame) -> DataFrame:
+    """Pairs of blocks of a bucket that can hold texts of different classes, numbered."""
+    a, b = (F.struct("own", "kind", "parts").alias(x) for x in "ab")
+    pairs = groups.select("band", a).join(groups.select("band", b), "band").filter("a < b OR a = b AND NOT a.own")
+    blocks = lambda x: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{x}.parts") - 1)).alias(f"{x}_block")
+    both = pairs.select("*", blocks("a")).select("*", blocks("b")).filter("a < b OR a_block <= b_block")
+    return both.withColumn("task", F.monotonically_increasing_id())
+
+
+def _similar(left: list[np.ndarray], right: list[np.ndarray], asked: np.ndarray, least: float
+             ) -> list[tuple[int, int, float]]:
+    """The asked pairs of two blocks of shingles (document, element, weight; by document) that are at least so
+    similar, with their similarity.
+
+    With the shares p and q of two texts that lie in common elements, the similarity is at most
+    pq / (p + q - pq), and just that where all weights are 1; only pairs that reach ``least`` by it are compared."""
+    common = np.intersect1d(left[1], right[1])
+
+    def rows(side, docs):
+        at = np.minimum(np.searchsorted(common, side[1]), max(len(common) - 1, 0))
+        hit = common[at] == side[1] if len(common) else np.zeros(len(at), bool)
+        total = np.bincount(side[0], side[2], docs)
+        return side[0][hit], at[hit], side[2][hit] / total[side[0][hit]]
+    held = [rows(side, docs) for side, docs in zip((left, right), asked.shape)]
+    p, q = np.zeros(asked.shape), np.zeros(asked.shape)
+    for lo in range(0, len(common), COLUMNS):
+        share = []
+        for (doc, at, part), docs in zip(held, asked.shape):
+            own = (at >= lo) & (at < lo + COLUMNS)
+            share.append(np.zeros((docs, min(COLUMNS, len(common) - lo))))
+            share[-1][doc[own], at[own] - lo] = part[own]
+        p += share[0] @ (share[1] > 0).T
+        q += (share[0] > 0).astype(float) @ share[1].T
+    most = p * q / np.maximum(p + q - p * q, 1e-300)
+    cut = [np.searchsorted(side[0], np.arange(docs + 1)) for side, docs in zip((left, right), asked.shape)]
+    one = lambda side, k, x: (side[1][cut[k][x]:cut[k][x + 1]], side[2][cut[k][x]:cut[k][x + 1]])
+    close = [(int(x), int(y), probability_jaccard(*one(left, 0, x), *one(right, 1, y)))
+             for x, y in zip(*np.nonzero(asked & (most >= least - 1e-9)))]
+    return [c for c in close if c[2] >= least]
+
+
+def _compare_blocks(least: float):
+    """Links between the two blocks of a task, or within its one block. A pair is compared in the first bucket that it shares."""
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side = table.column("side").to_numpy()
+        parts = [table.filter(pa.array(side == k)) for k in (0, 1)]
+        if not len(parts[1]):
+            parts[1] = parts[0]
+        ids, kinds, bands, blocks = [], [], [], []
+        for part in parts:
+            part = part.combine_chunks()
+            ids.append(part.column("doc_id").to_numpy())
+            kinds.append(part.column("component").to_numpy())
+            bands.append(pa.concat_arrays(part.column("bands").chunks).flatten().to_numpy().reshape(len(part), BANDS)
+                         if len(part) else np.zeros((0, BANDS), np.int64))
+            blocks.append(shingles(*text_bytes(pa.concat_arrays(part.column("text").chunks)))
+                          if len(part) else [np.zeros(0, np.int64)] * 3)
+        asked = kinds[0][:, None] != kinds[1][None, :]
+        if parts[0] is parts[1]:
+            asked &= ids[0][:, None] < ids[1][None, :]
+        same = bands[0][:, None, :] == bands[1][None, :, :]
+        band = table.column("band")[0].as_py()
+        asked &= bands[0][np.arange(len(ids[0]))[:, None], same.argmax(2)] == band if asked.size else asked
+        found = _similar(blocks[0], blocks[1], asked, least) if asked.any() else []
+        x, y = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
+        return pa.table({"a": ids[0][x], "b": ids[1][y], "a_class": kinds[0][x], "b_class": kinds[1][y],
+                         "similarity": pa.array([f[2] for f in found], pa.float64())})
+    return compare
+
+
+def _links_of_many(docs: DataFrame, inside: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """All links (a, b, a_class, b_class, similarity) between different classes of these buckets.
+
+    The texts of a bucket are dealt into blocks and every pair of blocks is a task, so the size of a
+    bucket decides how many tasks there are and not how large one is; no row is made per pair.
+    """
+    many = inside.join(texts.select("doc_id", "bytes"), "doc_id")
+    dealt, groups = (stage(x, "blocks") for x in _groups_of_blocks(many))
+    tasks = stage(_tasks(groups), "tasks")
+    sides = [tasks.select("task", "band", f"{x}.own", f"{x}.kind", F.col(f"{x}_block").alias("block"), F.lit(k).alias("side"))
+             for k, x in ((0, "a"), (1, "b"))]
+    alone = F.expr("a = b AND a_block = b_block")
+    sides[1] = sides[1].join(tasks.filter(alone).select("task"), "task", "left_anti")
+    needs = sides[0].unionByName(sides[1]).join(dealt, ["band", "own", "kind", "block"]).select(
+        "task", "band", "side", "doc_id", "component")
+    with_bands = _sieved(docs.select("doc_id", "text"), dealt.select("doc_id")).groupBy("doc_id").agg(F.max("text").alias("text")).join(
+        texts.select("doc_id", "bands"), "doc_id")
+    return needs.join(with_bands, "doc_id").groupBy("task").applyInArrow(
+        _compare_blocks(least), "a long, b long, a_class long, b_class long, similarity double")
+
+
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     """The classes after further links (a, b, a_class, b_class): only the classes they join are closed anew."""
     joined = components(links.select(F.col("a_class").alias("u"), F.col("b_class").alias("v"))).toDF("component", "new")
@@ -193,8 +312,9 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = rows.withColumn("text_key", F.unhex(F.md5("text")))
-    sketched = stage(keyed.mapInArrow(_sketch_rows, "doc_id long, text_key binary, bands array<long>"), "sketches")
-    texts = stage(sketched.groupBy("text_key").agg(F.min("doc_id").alias("doc_id")), "texts")
+    sketched = stage(keyed.mapInArrow(_sketch_rows, "doc_id long, text_key binary, bands array<long>, bytes long"), "sketches")
+    texts = stage(sketched.groupBy("text_key").agg(
+        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")), "texts")
     # the copies of a text have its bands, so those of its least id are enough
     banded = sketched.join(texts.select("doc_id"), "doc_id", "left_semi").select(
         "doc_id", F.explode("bands").alias("band")).distinct()
@@ -205,12 +325,8 @@ def classes(docs: DataFrame) -> DataFrame:
     links = stage(verify(rows, tested), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = stage(components(links), "classes")
     for turn in range(ROUNDS):
-        held = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id"))
-        # buckets that hold several classes; the others stay closed in later rounds
-        sizes = held.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"),
-                                         F.max("component").alias("hi")).filter("lo < hi").select("band", "n")
-        inside = stage(held.join(sizes, "band"), "buckets")
+        # the other buckets stay closed in later rounds
+        inside = stage(_open(buckets, found), "buckets")
         buckets = inside.select("doc_id", "band")
         placed = inside.withColumn("place", place(turn))
         if turn == 0:
@@ -225,6 +341,10 @@ def classes(docs: DataFrame) -> DataFrame:
             break
         tested = tested.unionByName(apart.select("a", "b"))
         found = stage(_merged(found, new), "classes")
+    inside = stage(_open(buckets, found).filter(F.col("n") > FEW), "buckets")
+    if not inside.isEmpty():
+        left = stage(_links_of_many(rows, inside, texts), "links")
+        found = stage(_merged(found, left), "classes")
     of_text = texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "text_key", F.coalesce("component", "doc_id").alias("class_id"))
     return sketched.select("doc_id", "text_key").join(of_text, "text_key").select("doc_id", "text_key", "class_id")

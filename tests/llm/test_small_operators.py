@@ -184,6 +184,51 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert {r.class_id for r in near_duplicates.classes(frame).collect()} == {0}
 
 
+def linked_by_brute_force(texts):
+    """The least id of each text's class, from all pairs."""
+    weights = [near_duplicates._distinct(t) for t in texts]
+    own = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if own[a] != own[b] and near_duplicates.probability_jaccard(*weights[a], *weights[b]) >= 0.8:
+                low, high = sorted((own[a], own[b]))
+                own = [low if x == high else x for x in own]
+    return dict(enumerate(own))
+
+
+def family(seed, copies, edits, words):
+    """Near copies of one base by edits of their own."""
+    rng = np.random.default_rng(seed)
+    base = prose(seed, words).split()
+    out = []
+    for k in range(copies):
+        at = set(rng.choice(words, edits, replace=False).tolist())
+        out.append(" ".join(f"v{k}x{j}" if j in at else w for j, w in enumerate(base)))
+    return out
+
+
+@pytest.mark.parametrize("words", [255, 275])
+def test_large_family_around_the_threshold_equals_brute_force(spark, words):
+    many = family(21, 160, 4, words)
+    frame = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")
+    want = linked_by_brute_force(many)
+    assert 1 < len(set(want.values())) < len(many)
+    assert {r.doc_id: r.class_id for r in near_duplicates.classes(frame).collect()} == want
+
+
+def test_block_pairs_equal_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        texts = [" ".join(f"w{x}" for x in rng.integers(0, 3, rng.integers(8, 40))) for _ in range(12)] + ["", "one"]
+        weights = [near_duplicates._distinct(t) for t in texts]
+        joined = [np.concatenate([np.repeat(np.arange(14), [len(w[0]) for w in weights])]),
+                  np.concatenate([w[0] for w in weights]), np.concatenate([w[1] for w in weights])]
+        asked = rng.random((14, 14)) < 0.8
+        got = {(x, y): s for x, y, s in near_duplicates._similar(joined, joined, asked, 0.3)}
+        want = {(x, y): near_duplicates.probability_jaccard(*weights[x], *weights[y]) for x, y in zip(*np.nonzero(asked))}
+        assert got == {k: pytest.approx(v) for k, v in want.items() if v >= 0.3}
+
+
 def test_chain_of_links_is_one_class(spark):
     words = prose(10, 400).split()
     chain = [(k, " ".join(words[12 * k:12 * k + 200])) for k in range(8)]  # each like the next, not like the one after
