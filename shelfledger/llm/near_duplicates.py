@@ -328,6 +328,8 @@ def classes(docs: DataFrame) -> DataFrame:
         # the other buckets stay closed in later rounds
         inside = stage(_open(buckets, found), "buckets")
         buckets = inside.select("doc_id", "band")
+        if inside.isEmpty():
+            break
         placed = inside.withColumn("place", place(turn))
         if turn == 0:
             more = _meetings(placed).unionByName(_pairs_of_few(inside.filter(F.col("n") <= FEW)))
@@ -337,10 +339,9 @@ def classes(docs: DataFrame) -> DataFrame:
             {"a_class": F.coalesce("a_class", "a"), "b_class": F.coalesce("b_class", "b")}).filter("a_class != b_class")
         apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         new = stage(verify(rows, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
-        if new.isEmpty():
-            break
         tested = tested.unionByName(apart.select("a", "b"))
-        found = stage(_merged(found, new), "classes")
+        if not new.isEmpty():
+            found = stage(_merged(found, new), "classes")
     inside = stage(_open(buckets, found).filter(F.col("n") > FEW), "buckets")
     if not inside.isEmpty():
         left = stage(_links_of_many(rows, inside, texts), "links")

@@ -216,6 +216,17 @@ def test_large_family_around_the_threshold_equals_brute_force(spark, words):
     assert {r.doc_id: r.class_id for r in near_duplicates.classes(frame).collect()} == want
 
 
+def test_meetings_without_a_link_end_nothing(spark, monkeypatch):
+    meetings = near_duplicates._meetings
+    monkeypatch.setattr(near_duplicates, "_meetings", lambda buckets, once=False: meetings(buckets, once).limit(0))
+    monkeypatch.setattr(near_duplicates, "FEW", 0)
+    many = family(21, 40, 4, 265)
+    want = linked_by_brute_force(many)
+    assert 1 < len(set(want.values())) < len(many)
+    frame = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates.classes(frame).collect()} == want
+
+
 def test_block_pairs_equal_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(20):
