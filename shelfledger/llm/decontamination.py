@@ -78,10 +78,9 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return typed, words, number | unit | name, first
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW):
-    """Windows of the templates: hash, document, place; and the words, and which are placeholders. A
-    text with fewer words is one window. Windows with too few words that are not placeholders are left out."""
-    typed, words, slots, first = template(data, offsets)
+def windows(typed: np.ndarray, slots: np.ndarray, first: np.ndarray, size: int = WINDOW):
+    """Windows of a template: hash, document, first word and end. A text with fewer words is one window.
+    Windows with too few words that are not placeholders are left out."""
     lengths = np.diff(first)
     counts = np.where(lengths == 0, 0, np.maximum(lengths - size + 1, 1))
     doc = np.repeat(np.arange(len(lengths)), counts)
@@ -90,29 +89,48 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW):
     plain = np.concatenate([[0], np.cumsum(~slots)])
     good = np.flatnonzero(plain[end] - plain[begin] >= LEAST_WORDS)
     doc, begin, end = doc[good], begin[good], end[good]
-    return run_hashes(typed, begin, end), doc, begin, end, words, slots, first
+    return run_hashes(typed, begin, end), doc, begin, end
 
 
-def _window_rows(wanted: np.ndarray | None):
-    """Windows of rows (id, key, text); of documents those with a wanted hash only."""
+def opened(typed: np.ndarray, words: np.ndarray, slots: np.ndarray, first: np.ndarray, size: int):
+    """Windows that begin with a name, with that word as it is: an item's first word has a capital and is no name."""
+    begin = np.flatnonzero(typed == _NAME)
+    doc = np.searchsorted(first, begin, "right") - 1
+    plain = np.concatenate([[0], np.cumsum(~slots)])
+    fits = begin + size <= first[doc + 1]
+    begin, doc = begin[fits], doc[fits]
+    good = plain[begin + size] - plain[begin] + 1 >= LEAST_WORDS
+    begin, doc = begin[good], doc[good]
+    parts = typed[begin[:, None] + np.arange(size)]
+    parts[:, 0] = words[begin]
+    at = np.arange(len(begin)) * size
+    return run_hashes(parts.ravel(), at, at + size), doc, begin, begin + size
+
+
+def _window_rows(wanted: np.ndarray | None, sizes: tuple[int, ...] = (WINDOW,)):
+    """Windows of rows (id, key, text); of documents those of these sizes with a wanted hash only."""
     def rows(batches):
         for batch in batches:
             ids, keys = batch.column("id"), batch.column("key")
             for lo, _, data, offsets in text_slices(batch.column("text")):
-                hashed, doc, begin, end, words, slots, first = windows(data, offsets)
-                if wanted is not None and len(hashed):
-                    at = np.minimum(np.searchsorted(wanted, hashed), len(wanted) - 1)
-                    hit = np.flatnonzero(wanted[at] == hashed)
-                    hashed, doc, begin, end = hashed[hit], doc[hit], begin[hit], end[hit]
-                values = [words[b:e][slots[b:e]].view(np.int64) for b, e in zip(begin, end)]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(lo + doc)), keys.take(pa.array(lo + doc)), pa.array(hashed.view(np.int64)),
-                     pa.array((begin - first[doc]).astype(np.int64)), pa.array(values, pa.list_(pa.int64()))],
-                    ["id", "key", "window", "at", "slots"])
+                typed, words, slots, first = template(data, offsets)
+                for size, keeps in [(size, keeps) for size in sizes for keeps in ((0,) if wanted is None else (0, 1))]:
+                    hashed, doc, begin, end = opened(typed, words, slots, first, size) if keeps else windows(
+                        typed, slots, first, size)
+                    if wanted is not None and len(hashed):
+                        at = np.minimum(np.searchsorted(wanted, hashed), len(wanted) - 1)
+                        hit = np.flatnonzero(wanted[at] == hashed)
+                        hashed, doc, begin, end = hashed[hit], doc[hit], begin[hit], end[hit]
+                    values = [words[b:e][slots[b:e]].view(np.int64) for b, e in zip(begin + keeps, end)]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(lo + doc)), keys.take(pa.array(lo + doc)), pa.array(hashed.view(np.int64)),
+                         pa.array((begin - first[doc]).astype(np.int64)), pa.array((end - begin).astype(np.int64)),
+                         pa.array(values, pa.list_(pa.int64()))],
+                        ["id", "key", "window", "at", "words", "slots"])
     return rows
 
 
-_ROWS = "id long, key long, window long, at long, slots array<long>"
+_ROWS = "id long, key long, window long, at long, words long, slots array<long>"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -120,7 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
     coverage (share of the item's windows) and windows (matched, of one consistent alignment each).
 
     Items with one id count as one text's windows. Null or empty texts, and items with fewer than four
-    words besides placeholders, match nothing; rows that repeat a document's id and text are one; a null id is kept.
+    words besides placeholders, match nothing; shorter items than a window are matched by windows of their length; rows that repeat a document's id and text are one; a null id is kept.
     An empty benchmark or table gives no rows; other columns are not read. The benchmark is joined
     in blocks of a fixed number of windows, so what is broadcast doesn't grow with it.
     """
@@ -128,9 +146,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
     named = lambda df, name: df.select(
         F.col(name).cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
     items = stage(named(benchmark, "item_id").mapInArrow(_window_rows(None), _ROWS).select(
-        F.col("id").alias("item_id"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")),
+        F.col("id").alias("item_id"), "window", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.col("slots").alias("item_slots")),
         "benchmark")
     sizes = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("item_windows"))
+    # an item shorter than a window is looked for in windows of its own length
+    short = [r.item_words for r in items.filter(F.col("item_words") < WINDOW).select("item_words").distinct().collect()]
     blocks = items.count() // BLOCK + 1
     found = None
     for block in range(blocks):
@@ -138,7 +158,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
         wanted = np.unique(part.select("window").toArrow().column(0).to_numpy().view(np.uint64))  # about BLOCK at most
         if not len(wanted):
             continue
-        met = named(docs, id_col).mapInArrow(_window_rows(wanted), _ROWS).join(F.broadcast(part), "window")
+        met = named(docs, id_col).mapInArrow(_window_rows(wanted, (WINDOW, *sorted(short))), _ROWS).join(F.broadcast(part), "window")
         found = met if found is None else found.unionByName(met)
     if found is None:
         return spark.createDataFrame([], "id long, key long, item_id long, coverage double, windows long")

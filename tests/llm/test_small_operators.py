@@ -327,6 +327,17 @@ def test_templates_match_other_numbers_and_names(spark, docs, empty):
     assert decontamination.contaminated(empty, bench).count() == 0
 
 
+def test_short_items_inside_long_documents(spark, empty):
+    short, eight = "Which colour has the old bridge?", "Why does the green river run so slowly?"
+    before = "there was much to say about the town and then someone asked them all the same thing again: "
+    asked = [(1, before + short + " nobody knew it and so they went on to the next one of the long list"),
+             (2, before[:-2] + " " + eight + " nobody knew"), (3, before + "Which colour has the new bridge? nobody knew"),
+             (4, before[:-2] + " Anna does the green river run so slowly? nobody knew"), (5, short), (6, before)]
+    bench = spark.createDataFrame([(7, short), (8, eight)], "item_id long, text string")
+    got = Counter((r.id, r.item_id) for r in decontamination.contaminated(spark.createDataFrame(rows(*asked), SCHEMA), bench).collect())
+    assert got == {(1, 7): 1, (2, 8): 1, (5, 7): 1}
+
+
 def test_extraction():
     tree = extraction.fit()
     page = ("<html><head><title>T</title><style>p{}</style></head><body><header><p>Site name</p></header><nav><ul><li><a href=/a>Home</a>"
