@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import (decontamination, extraction, fingerprints, languages, near_duplicates, packing,
+from shelfledger.llm import (byte_bpe, decontamination, extraction, fingerprints, languages, near_duplicates, packing,
                              sharding, substrings, token_counts, toxicity)
 from shelfledger.llm.common import configured
 
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": near_duplicates.query,
         "op9_repeated_substrings": substrings.query,
         "op10_pack_sequences": packing.query,
+        "op11_byte_bpe": byte_bpe.query,
     }
     return {name: configured(query) for name, query in found.items()}
 
