@@ -10,10 +10,10 @@ from functools import wraps
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfledger.session import configure
+from shelfledger.session import configure, stage
 
 #: Bytes of text that one numpy pass handles; it bounds a worker's memory. A longer text is a pass of its own.
 SLICE = 1 << 20
@@ -151,3 +151,25 @@ def ragged(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(lengths)), lengths)
     first = np.cumsum(lengths) - lengths
     return owner, np.arange(len(owner)) - first[owner]
+
+
+def running(rows: DataFrame, key: str, order: list[Column], totals: dict[str, tuple[str, Column]]) -> DataFrame:
+    """The rows, written, with running totals in each ``key`` by ``order``, the row itself included.
+
+    ``totals`` has by name the kind, ``sum`` or ``bit_xor``, and the value. Rows are dealt by ranges of key and
+    order, so that those of one key may lie in many partitions; what the partitions before hold of a key is added
+    to each. Only the keys that lie in several partitions, at most two for each partition, are broadcast.
+    """
+    kinds = {"sum": (F.sum, lambda a, b: a + b), "bit_xor": (F.bit_xor, lambda a, b: a.bitwiseXOR(b))}
+    dealt = rows.repartitionByRange(F.col(key), *order).withColumn("_part", F.spark_partition_id())
+    own = Window.partitionBy("_part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = stage(dealt.withColumns({name: kinds[kind][0](value).over(own) for name, (kind, value) in totals.items()}
+                                     | {f"_{name}": value for name, (_, value) in totals.items()}), "running")
+    parts = inside.groupBy(key, "_part").agg(*[kinds[kind][0](f"_{name}").alias(f"_{name}") for name, (kind, _) in totals.items()])
+    several = parts.groupBy(key).agg(F.min("_part").alias("lo"), F.max("_part").alias("hi")).filter("lo < hi").select(key)
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.join(several, key, "left_semi").select(
+        key, "_part", *[kinds[kind][0](f"_{name}").over(earlier).alias(f"_{name}") for name, (kind, _) in totals.items()])
+    joined = inside.drop(*[f"_{name}" for name in totals]).join(F.broadcast(before), [key, "_part"], "left")
+    return joined.select(*rows.columns, *[kinds[kind][1](F.col(name), F.coalesce(f"_{name}", F.lit(0))).alias(name)
+                                          for name, (kind, _) in totals.items()])
