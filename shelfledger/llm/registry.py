@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import (byte_bpe, conversation_trie, decontamination, extraction, fingerprints, languages, near_duplicates, packing,
+from shelfledger.llm import (byte_bpe, collocations, conversation_trie, decontamination, extraction, fingerprints, languages, near_duplicates, packing,
                              sharding, substrings, token_counts, toxicity)
 from shelfledger.llm.common import configured
 
@@ -25,9 +25,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_pack_sequences": packing.query,
         "op11_byte_bpe": byte_bpe.query,
         "op12_conversation_trie": conversation_trie.query,
+        "op13_collocations": collocations.query,
     }
     return {name: configured(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_repeated_substrings": substrings.SQL, "op12_conversation_trie": conversation_trie.SQL}
+    return {"op9_repeated_substrings": substrings.SQL, "op12_conversation_trie": conversation_trie.SQL,
+            "op13_collocations": collocations.SQL}
