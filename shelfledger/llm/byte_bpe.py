@@ -126,6 +126,11 @@ def replay(data: np.ndarray, offsets: np.ndarray, own: Vocabulary) -> tuple[np.n
                 at = at[place % 2 == 0]
         gone = after[at]
         follows = after[gone]
+        beside = at[:-1][follows[:-1] == at[1:]]
+        if len(beside):  # one by one, the left of two neighbours would meet the right one's first symbol for a while
+            met = own.rank(np.full(len(beside), now), symbol[after[after[beside]]])
+            if (met < now).any():
+                odd.append(beside[met < now])
         symbol[at], symbol[gone], rank[gone] = now, -1, NONE
         after[at], before[follows] = follows, at
         marked[at] = True

@@ -48,7 +48,7 @@ def crc_fold(doc_id, parts):
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(registry.queries()) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 14))
 
 
 def test_fingerprints(result, docs):
