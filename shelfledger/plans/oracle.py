@@ -538,12 +538,14 @@ def _statements() -> dict[str, str]:
     s["stream_invalid"] = f"""{tiers}
         SELECT {event}, validation_error FROM lake WHERE validation_error IS NOT NULL"""
     s["stream_latest_price"] = f"{tiers} SELECT * FROM latest"
-    s["stream_accounting"] = tiers + """,
-        again AS (SELECT count(*) AS n FROM events WHERE event_id % 20 = 0)
-        SELECT count(*) + any_value(n) AS input_rows,
-               CAST(any_value(n) AS BIGINT) AS late_or_duplicate_rows,
+    again = "(SELECT *, event_time <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES AS late FROM lake WHERE event_id::BIGINT % 20 = 0)"
+    s["stream_late"] = f"{tiers} SELECT {event}, 'late event' AS validation_error FROM {again} WHERE late"
+    s["stream_accounting"] = f"""{tiers},
+        again AS (SELECT count(*) FILTER (late) AS late, count(*) FILTER (NOT late) AS copies FROM {again})
+        SELECT count(*) + any_value(late + copies) AS input_rows,
                count(*) FILTER (validation_error IS NULL) AS valid_rows,
-               count(*) FILTER (validation_error IS NOT NULL) AS invalid_rows, TRUE AS reconciled
+               count(*) FILTER (validation_error IS NOT NULL) AS invalid_rows,
+               CAST(any_value(late) AS BIGINT) AS late_rows, CAST(any_value(copies) AS BIGINT) AS duplicate_rows, TRUE AS reconciled
         FROM lake, again"""
     s["layer_counts"] = f"""{audited}, {_STREAM} {_LAYERS}
         UNION ALL SELECT 'lake.price_events', count(*) FROM valid

@@ -416,18 +416,22 @@ def stream_latest_price(spark, sf_dir):
     return latest.select("barcode", "store_id", "latest_price", "latest_event_time")
 
 
+@query
+def stream_late(spark, sf_dir):
+    """Events behind the watermark, kept apart with their reason."""
+    return stream.late_events(spark, f"{lake(spark, sf_dir)}/lake")
+
+
 @query
 def stream_accounting(spark, sf_dir):
-    """Rows that came in, against valid, invalid, late and duplicate rows."""
+    """Rows that came in, as the batches took them down, against what the decided rows say became of them."""
     root = lake(spark, sf_dir)
-    came = stream.stream_audit(spark, f"{root}/lake").agg(
-        F.sum("input_rows").alias("input_rows"),
-        F.sum(F.col("late_rows") + F.col("duplicate_rows")).alias("late_or_duplicate_rows"))
-    went = stream.validation_counts(spark, f"{root}/lake").agg(
-        F.sum("valid_rows").alias("valid_rows"), F.sum("invalid_rows").alias("invalid_rows"))
-    return came.crossJoin(F.broadcast(went)).withColumn(
-        "reconciled", F.col("input_rows") == F.col("valid_rows") + F.col("invalid_rows")
-        + F.col("late_or_duplicate_rows"))
+    kinds = ("valid_rows", "invalid_rows", "late_rows", "duplicate_rows")
+    came = stream.stream_audit(spark, f"{root}/lake").select("batch_id", "input_rows")
+    went = stream.outcome_counts(spark, f"{root}/lake")
+    return came.join(went, "batch_id", "full_outer").agg(
+        *[F.sum(n).alias(n) for n in ("input_rows", *kinds)],
+        F.bool_and(F.coalesce(F.col("input_rows") == sum(F.col(k) for k in kinds), F.lit(False))).alias("reconciled"))
 
 
 # -- figures -------------------------------------------------------------------------------------

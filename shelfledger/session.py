@@ -64,3 +64,9 @@ def stage(df: DataFrame, name: str = "stage", partition_by: str | None = None) -
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the engine wrote, wherever Spark keeps it; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
