@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import mix, text_bytes
+from shelfledger.llm.common import mix, release, text_bytes, written
 from shelfledger.session import stage
 
 LEAST = 10
@@ -39,11 +39,11 @@ _SMALL = bytes(c + 32 if 65 <= c <= 90 else 46 if c in b".,;:!?\n\x0b\x0c\r" els
 _BREAK = re.compile(rb"[\t-\r .,;:!?]")
 
 
-def words(text: bytes):
+def words(text: bytes, window: int = WINDOW):
     """Lists of words, a window of text at a time; b"." stands between pieces."""
     at = 0
     while at < len(text):
-        end = at + WINDOW
+        end = at + window
         if end < len(text):
             cut = _BREAK.search(text, end)
             end = cut.end() if cut else len(text)
@@ -68,8 +68,8 @@ class _Shard:
         self.word: dict[bytes, int] = defaultdict(count().__next__)
         self.word[b"."]  # noqa: B018  the separator is 0
 
-    def add(self, text: bytes) -> None:
-        for found in words(text):
+    def add(self, text: bytes, window: int) -> None:
+        for found in words(text, window):
             self.ids.append(np.fromiter(map(self.word.__getitem__, found), np.int32, len(found)))
             self.size += len(found)
         self.ids.append(np.zeros(1, np.int32))
@@ -85,21 +85,23 @@ class _Shard:
             ["shard", "lang", "place", "word", "n", "ids"])
 
 
-def _shards(batches):
-    """Shards are named by partition and number, so a repeated task repeats them."""
-    part, number, held = TaskContext.get().partitionId(), count(), {}
-    for batch in batches:
-        data, offsets = text_bytes(batch.column("text"))
-        for lang, lo, hi in zip(batch.column("lang").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-            if lang not in held:
-                held[lang] = _Shard((part << 32) + next(number), lang)
-            held[lang].add(data[lo:hi].tobytes())
-            if held[lang].size >= SHARD_WORDS:
-                yield held.pop(lang).row()
-            elif sum(s.size for s in held.values()) > OPEN_WORDS:  # many languages at once
-                yield held.pop(max(held, key=lambda x: held[x].size)).row()
-    for shard in held.values():
-        yield shard.row()
+def _shards(shard_words: int, open_words: int, window: int):
+    def cut(batches):
+        """Shards are named by partition and number, so a repeated task repeats them."""
+        part, number, held = TaskContext.get().partitionId(), count(), {}
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            for lang, lo, hi in zip(batch.column("lang").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                if lang not in held:
+                    held[lang] = _Shard((part << 32) + next(number), lang)
+                held[lang].add(data[lo:hi].tobytes(), window)
+                if held[lang].size >= shard_words:
+                    yield held.pop(lang).row()
+                elif sum(s.size for s in held.values()) > open_words:  # many languages at once
+                    yield held.pop(max(held, key=lambda x: held[x].size)).row()
+        while held:
+            yield held.popitem()[1].row()
+    return cut
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -235,6 +237,28 @@ def _score(a: Column, l: Column, r: Column) -> Column:
                                    wide(l) * wide(r))).cast("long")
 
 
+def _indexes(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """The shards' indexes, the frequent words (lang, word, gid, f), words per language (lang, n), and words in all.
+
+    A word's gid is the least row number of its rows, one for each shard that has it; only that row keeps the word."""
+    texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    shards, drop = written(texts.mapInArrow(_shards(SHARD_WORDS, OPEN_WORDS, WINDOW),
+                                            "shard long, lang string, place long, word binary, n long, ids binary"), "shards")
+    sizes = stage(shards.filter("place = 0").groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    alike, first = Window.partitionBy("lang", "word"), F.col("gid") == F.col("row")
+    own = stage(shards.filter("place > 0").select("shard", "place", "lang", "word", "n", F.monotonically_increasing_id().alias("row"))
+                .withColumns({"f": F.sum("n").over(alike), "gid": F.min("row").over(alike)}).filter(F.col("f") >= least)
+                .select("shard", "place", "gid", "f", *[F.when(first, F.col(c)).alias(c) for c in ("lang", "word")]), "words")
+    release(docs.sparkSession)
+    heads = shards.filter("place = 0").select("shard", "place", F.lit(-1).cast("long").alias("gid"), "ids")
+    index = stage(heads.unionByName(own.select("shard", "place", "gid", F.lit(None).cast("binary").alias("ids"))).groupBy("shard").applyInArrow(
+        _index(LONGEST - 1), "shard long, gids array<long>, sizes array<long>, left binary, right binary"), "index")
+    drop()
+    release(docs.sparkSession)
+    return index, own.filter("word IS NOT NULL").select("lang", "word", "gid", "f"), sizes, total
+
+
 def phrases(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP) -> DataFrame:
     """The first ``top`` collocations of two or three words per language: lang, rank, phrase, a, l, r, n, score.
 
@@ -245,21 +269,14 @@ def phrases(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int =
     null text is empty; repeated rows count again; languages without a phrase give no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    shards = stage(texts.mapInArrow(_shards, "shard long, lang string, place long, word binary, n long, ids binary"), "shards")
-    sizes = shards.filter("place = 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    total = shards.filter("place = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = shards.filter("place > 0").groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    known = stage(frequent.withColumn("gid", F.monotonically_increasing_id()), "words")
-    own = shards.filter("place > 0").join(known, ["lang", "word"]).select("shard", "place", "gid", F.lit(None).cast("binary").alias("ids"))
-    heads = shards.filter("place = 0").select("shard", "place", F.lit(-1).cast("long").alias("gid"), "ids")
-    index = stage(heads.unionByName(own).groupBy("shard").applyInArrow(
-        _index(LONGEST - 1), "shard long, gids array<long>, sizes array<long>, left binary, right binary"), "index")
+    index, known, sizes, total = _indexes(docs, least)
     two = stage(index.select("gids", "sizes", "left").mapInArrow(_count_pairs, "g1 long, g2 long, n long").groupBy("g1", "g2").agg(
         F.sum("n").alias("a")).filter(F.col("a") >= least), "pairs")
+    release(spark)
     sieve = _sieve(two)
     three = stage(index.mapInArrow(_count_triples(sieve), "g1 long, g2 long, g3 long, n long").groupBy("g1", "g2", "g3").agg(
         F.sum("n").alias("a")).filter(F.col("a") >= least), "triples")
+    release(spark)
     word = lambda k: known.select(F.col("gid").alias(f"g{k}"), F.col("f").alias(f"f{k}"))
     pair = lambda x, y, name: two.select(F.col("g1").alias(x), F.col("g2").alias(y), F.col("a").alias(name))
     scored_two = _with(_with(two, word(1), ["g1"], "f1", total), word(2), ["g2"], "f2", total).withColumns(

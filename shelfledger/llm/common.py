@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 from collections.abc import Callable, Iterator
@@ -10,10 +11,12 @@ from functools import wraps
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfledger.session import configure, stage
+from shelfledger.session import configure, remove, scratch_dir, stage
 
 #: Bytes of text that one numpy pass handles; it bounds a worker's memory. A longer text is a pass of its own.
 SLICE = 1 << 20
@@ -40,12 +43,32 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", "text", *more)
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A frame written to the shared storage and read back, and what removes it there."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), lambda: remove(spark, path)
+
+
+def release(spark) -> None:
+    """Let Spark drop the shuffle files of steps whose results are written: it does so once their plans are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def kept_in_worker(key: str, build: Callable):
-    """A value that a Python worker builds once and keeps for its later tasks."""
+    """A value that a Python worker builds once and keeps for its later tasks. A worker serves many stages; a value
+    that none of the last two stages asked for is let go."""
+    task = TaskContext.get()
+    now = task.stageId() if task else -1
     store = sys.__dict__.setdefault("_llm_kept", {})
-    if key not in store:
-        store[key] = build()
-    return store[key]
+    if store.get("stage") != now:
+        for old in [k for k, v in store.items() if k != "stage" and v[1] not in (store["stage"], now)]:
+            del store[old]
+        store["stage"] = now
+    value = store[key][0] if key in store else build()
+    store[key] = value, now
+    return value
 
 
 def tokenizer(path: str):
@@ -113,17 +136,28 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray =
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    size = 1 << max(12, (n + 1).bit_length())
+class _Powers:
+    """The longest powers of a base so far."""
+
+    def __init__(self, base: int):
+        self.base, self.up, self.down = base, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
-    def build():
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n < len(self.up):
+            return self.up, self.down
+        size = 1 << max(12, (n + 1).bit_length())
+        up, down = np.full(size, self.base, np.uint64), np.full(size, pow(self.base, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
-        return np.cumprod(up), np.cumprod(down)
-    if size > 8 * SLICE:  # one very long text: not kept
-        return build()
-    return kept_in_worker(f"powers {base} {size}", build)
+        np.cumprod(up, out=up)
+        np.cumprod(down, out=down)
+        if size <= 8 * SLICE:  # those of one very long text are not kept
+            self.up, self.down = up, down
+        return up, down
+
+
+def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2**64, at least to the n-th."""
+    return kept_in_worker(f"powers {base}", lambda: _Powers(base)).of(n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -142,6 +176,15 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     return mix((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(_BASE_2))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of words given as bytes. A sum of powers modulo 2**64 is the same for some long words of two letters
+    (Thue-Morse strings), whatever the base, so words of more than 64 bytes are hashed by another function."""
+    hashed = run_hashes(data, starts, ends)
+    for k in np.flatnonzero(ends - starts > 64).tolist():
+        hashed[k] = xxhash.xxh3_64_intdigest(data[starts[k]:ends[k]].tobytes())
+    return hashed
+
+
 def second_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return run_hashes(values, starts, ends, _BASE_2)
 
