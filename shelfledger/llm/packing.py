@@ -25,8 +25,8 @@ from shelfledger.llm.common import byte_letters, kept_in_worker, texts, tokenize
 from shelfledger.session import stage
 
 LENGTH = 4096
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+#: Bytes of words and ids that a worker remembers; beyond it the memory starts anew. Bytes of a text handled at a time.
+REMEMBERED, RUN = 64 << 20, 1 << 20
 #: Rows that one rank group aims at, and the most groups besides one per length.
 RANK_ROWS = 500
 RANK_GROUPS = 20_000
@@ -36,7 +36,8 @@ PIECES = "doc_id long, row long, start long, length long, ids_crc32 long, doc_to
 #: Words of small Latin letters are one pre-token each, so the merges alone give their ids.
 _SIMPLE = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: Where a blank changes nothing: the vocabulary parts letters and digits from the marks after them.
-_BEFORE_MARK = re.compile(rb"([a-z0-9])(?=[!-/:-@\[-`{-~])")
+_BEFORE_MARK = re.compile(rb"([A-Za-z0-9])(?=[!-/:-@\[-`{-~])")
+_SPACE = re.compile(rb"[\t-\r ]")
 
 
 class _Words:
@@ -44,26 +45,40 @@ class _Words:
 
     def __init__(self, path: str):
         self.known: dict[bytes, bytes] = {}
+        self.size = 0
         self.model, self.letters = tokenizer(path), byte_letters()
 
     def of(self, text: bytes) -> bytes:
-        text = text.lower()  # ASCII only, as the vocabulary does first
+        """The ids of a text, a run of whole words at a time."""
+        parts, at = [], 0
+        while at < len(text):
+            cut = _SPACE.search(text, at + RUN) if len(text) - at > RUN else None
+            end = cut.start() if cut else len(text)
+            parts.append(self._run(text[at:end]))
+            at = end
+        return parts[0] if len(parts) == 1 else b"".join(parts)
+
+    def _run(self, text: bytes) -> bytes:
         # a special token's string must stay in one word
         words = text.split() if b"<|" in text else _BEFORE_MARK.sub(rb"\1 ", text).split()
         known = self.known
-        if len(known) > REMEMBERED:
+        if self.size > REMEMBERED:
             known.clear()
+            self.size = 0
         missing = set(words).difference(known)
         if missing:
             merges, letters, other = self.model.model, self.letters, []
             for word in missing:
-                if _SIMPLE.fullmatch(word):
-                    found = [t.id for t in merges.tokenize(word.decode("latin-1").translate(letters))]
+                small = word.lower()  # ASCII only, which comes to the same where all other letters are small and composed
+                if _SIMPLE.fullmatch(small):
+                    found = [t.id for t in merges.tokenize(small.decode("latin-1").translate(letters))]
                     known[word] = array("I", found).tobytes()
                 else:
                     other.append(word)
+            # in their own case: special strings are matched, and letters composed, before capitals become small
             encoded = self.model.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
             known.update(zip(other, (array("I", e.ids).tobytes() for e in encoded)))
+            self.size += sum(len(w) + len(known[w]) + 150 for w in missing)
         return b"".join(map(known.__getitem__, words))
 
 
