@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds
+from shelfledger.llm.common import mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds, word_hashes
 from shelfledger.llm.components import components
 from shelfledger.session import stage
 
@@ -32,9 +32,10 @@ FEW = 32
 #: buckets, and all texts where these are few, then another text of each. They only leave less to the blocks.
 ROUNDS = 2
 #: Texts and bytes that a block of a large bucket aims at; a longer text is a block of its own.
-BLOCK, BLOCK_BYTES = 64, 1 << 19
-#: Shingles of two blocks that one matrix product covers.
-COLUMNS = 1 << 12
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
+#: Shingles of two blocks that one matrix product covers, and pairs that rarer shingles make at a time. A shingle goes
+#: into the product where it makes more than one in SPARSE of the pairs.
+COLUMNS, PAIRS, SPARSE = 1 << 10, 1 << 20, 128
 #: Most longs of the table of bits that keeps texts from being shuffled needlessly.
 SIEVE = 1 << 20
 #: Stands for a null id in joins.
@@ -46,7 +47,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE
     """Distinct shingles of a slice: document, hash, and how often the document has it, by document. A text of fewer words
     is one shingle; one without words has none."""
     starts, ends, first = word_bounds(data, offsets)
-    words = run_hashes(data, starts, ends)
+    words = word_hashes(data, starts, ends)
     lengths = np.diff(first)
     counts = np.where(lengths == 0, 0, np.maximum(lengths - size + 1, 1))
     doc, place = ragged(counts)
@@ -209,36 +210,76 @@ def _tasks(groups: DataFrame) -> DataFrame:
     return both.withColumn("task", F.monotonically_increasing_id())
 
 
-def _similar(left: list[np.ndarray], right: list[np.ndarray], asked: np.ndarray, least: float
-             ) -> list[tuple[int, int, float]]:
-    """The asked pairs of two blocks of shingles (document, element, weight; by document) that are at least so
-    similar, with their similarity.
-
-    With the shares p and q of two texts that lie in common elements, the similarity is at most
-    pq / (p + q - pq), and just that where all weights are 1; only pairs that reach ``least`` by it are compared."""
+def _joint_shares(left: list[np.ndarray], right: list[np.ndarray], shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of texts of two blocks of shingles (document, element, weight), the share of either text's weight that
+    lies in common elements. Elements of many texts are summed by a matrix product, the others pair by pair."""
     common = np.intersect1d(left[1], right[1])
 
     def rows(side, docs):
         at = np.minimum(np.searchsorted(common, side[1]), max(len(common) - 1, 0))
         hit = common[at] == side[1] if len(common) else np.zeros(len(at), bool)
         total = np.bincount(side[0], side[2], docs)
-        return side[0][hit], at[hit], side[2][hit] / total[side[0][hit]]
-    held = [rows(side, docs) for side, docs in zip((left, right), asked.shape)]
-    p, q = np.zeros(asked.shape), np.zeros(asked.shape)
-    for lo in range(0, len(common), COLUMNS):
+        doc, at, part = side[0][hit], at[hit], side[2][hit] / total[side[0][hit]]
+        order = np.argsort(at, kind="stable")
+        return doc[order], at[order], part[order]
+    held = [rows(side, docs) for side, docs in zip((left, right), shape)]
+    counts = [np.bincount(at, minlength=len(common)) for _, at, _ in held]
+    many = counts[0] * counts[1] * SPARSE > shape[0] * shape[1]
+    p, q = np.zeros(shape), np.zeros(shape)
+    column = np.cumsum(many) - 1
+    for lo in range(0, int(many.sum()), COLUMNS):
+        width = min(COLUMNS, int(many.sum()) - lo)
         share = []
-        for (doc, at, part), docs in zip(held, asked.shape):
-            own = (at >= lo) & (at < lo + COLUMNS)
-            share.append(np.zeros((docs, min(COLUMNS, len(common) - lo))))
-            share[-1][doc[own], at[own] - lo] = part[own]
+        for (doc, at, part), docs in zip(held, shape):
+            own = many[at] & (column[at] >= lo) & (column[at] < lo + width)
+            share.append(np.zeros((docs, width)))
+            share[-1][doc[own], column[at[own]] - lo] = part[own]
         p += share[0] @ (share[1] > 0).T
         q += (share[0] > 0).astype(float) @ share[1].T
+    (doc_a, at_a, part_a), (doc_b, at_b, part_b) = ([x[~many[side[1]]] for x in side] for side in held)
+    n_b = np.bincount(at_b, minlength=len(common))
+    first_b, fan = np.cumsum(n_b) - n_b, n_b[at_a]
+    ends = np.cumsum(fan)
+    lo = 0
+    while lo < len(at_a):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PAIRS, "right")))
+        owner, place = ragged(fan[lo:hi])
+        a, b = lo + owner, first_b[at_a[lo:hi]][owner] + place
+        pair = doc_a[a] * shape[1] + doc_b[b]
+        for total, part in ((p, part_a[a]), (q, part_b[b])):
+            total += np.bincount(pair, part, shape[0] * shape[1]).reshape(shape)
+        lo = hi
+    return p, q
+
+
+def _similar(left: list[np.ndarray], right: list[np.ndarray], asked: np.ndarray, kinds: list[np.ndarray], least: float
+             ) -> list[tuple[int, int, float]]:
+    """Of the asked pairs of two blocks of shingles (document, element, weight; by document) that are at least so
+    similar, as many as connect the classes (``kinds``) that all of them connect, with their similarity.
+
+    With the shares p and q of two texts that lie in common elements, the similarity is at most
+    pq / (p + q - pq), and just that where all weights are 1; only pairs that reach ``least`` by it are compared."""
+    p, q = _joint_shares(left, right, asked.shape)
     most = p * q / np.maximum(p + q - p * q, 1e-300)
     cut = [np.searchsorted(side[0], np.arange(docs + 1)) for side, docs in zip((left, right), asked.shape)]
     one = lambda side, k, x: (side[1][cut[k][x]:cut[k][x + 1]], side[2][cut[k][x]:cut[k][x + 1]])
-    close = [(int(x), int(y), probability_jaccard(*one(left, 0, x), *one(right, 1, y)))
-             for x, y in zip(*np.nonzero(asked & (most >= least - 1e-9)))]
-    return [c for c in close if c[2] >= least]
+    x, y = np.nonzero(asked & (most >= least - 1e-9))
+    order = np.argsort(-most[x, y], kind="stable")
+    parent: dict[int, int] = {}
+
+    def root(k: int) -> int:
+        while (up := parent.setdefault(k, k)) != k:
+            parent[k] = k = parent[up]
+        return k
+    found = []
+    for a, b in zip(x[order].tolist(), y[order].tolist()):
+        u, v = root(int(kinds[0][a])), root(int(kinds[1][b]))
+        if u != v:
+            similarity = probability_jaccard(*one(left, 0, a), *one(right, 1, b))
+            if similarity >= least:
+                parent[max(u, v)] = min(u, v)
+                found.append((a, b, similarity))
+    return found
 
 
 def _compare_blocks(least: float):
@@ -264,7 +305,7 @@ def _compare_blocks(least: float):
         same = bands[0][:, None, :] == bands[1][None, :, :]
         band = table.column("band")[0].as_py()
         asked &= bands[0][np.arange(len(ids[0]))[:, None], same.argmax(2)] == band if asked.size else asked
-        found = _similar(blocks[0], blocks[1], asked, least) if asked.any() else []
+        found = _similar(blocks[0], blocks[1], asked, kinds, least) if asked.any() else []
         x, y = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
         return pa.table({"a": ids[0][x], "b": ids[1][y], "a_class": kinds[0][x], "b_class": kinds[1][y],
                          "similarity": pa.array([f[2] for f in found], pa.float64())})
@@ -272,7 +313,8 @@ def _compare_blocks(least: float):
 
 
 def _links_of_many(docs: DataFrame, inside: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """All links (a, b, a_class, b_class, similarity) between different classes of these buckets.
+    """Links (a, b, a_class, b_class, similarity) between different classes of these buckets, enough to connect
+    all classes that links connect.
 
     The texts of a bucket are dealt into blocks and every pair of blocks is a task, so the size of a
     bucket decides how many tasks there are and not how large one is; no row is made per pair.
