@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import run_hashes, text_slices, word_bounds
+from shelfledger.llm.common import run_hashes, text_slices, word_bounds, word_hashes
 from shelfledger.session import stage
 
 WINDOW = 35
@@ -24,6 +24,8 @@ WINDOW = 35
 GRAM = 8
 #: Most distinct segments of a shard that an automaton is built for.
 SHARD = 128
+#: Rows of an output batch of cut segments.
+ROWS = 4096
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
 
@@ -69,7 +71,7 @@ def _file(batches):
         keys = batch.column("key").to_numpy()
         for lo, _, data, offsets in text_slices(batch.column("text")):
             starts, ends, first = word_bounds(data, offsets)
-            minimiser, segment, doc, at, count = minimiser_runs(run_hashes(data, starts, ends), first)
+            minimiser, segment, doc, at, count = minimiser_runs(word_hashes(data, starts, ends), first)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (minimiser.view(np.int64), segment.view(np.int64), ids[lo + doc], keys[lo + doc],
                                        at.astype(np.int32), count.astype(np.int32))],
@@ -78,6 +80,12 @@ def _file(batches):
 
 def _cut(window: int = WINDOW):
     """The words of reference segments, or of a crowded shard's segments the hashes of the windows."""
+    def done(out):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
+             pa.array(out[3], pa.binary()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.int64())],
+            ["minimiser", "segment", "n", "words", "bit", "window"])
+
     def cut(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
@@ -91,7 +99,7 @@ def _cut(window: int = WINDOW):
                     begin, size = want["at"], want["windows"] + window - 1
                     if want["crowded"]:
                         if hashed is None:
-                            hashed = run_hashes(data, np.concatenate([[0], ends[:-1]]), ends)
+                            hashed = word_hashes(data, np.concatenate([[0], ends[:-1]]), ends)
                         places = np.arange(want["windows"])
                         part = hashed[begin:begin + size]
                         found = run_hashes(part, places, places + window).view(np.int64).tolist()
@@ -101,10 +109,10 @@ def _cut(window: int = WINDOW):
                     for row in rows:
                         for column, value in zip(out, (want["minimiser"], want["segment"], want["n"], *row)):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.binary()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.int64())],
-                ["minimiser", "segment", "n", "words", "bit", "window"])
+                    if len(out[0]) >= ROWS:
+                        yield done(out)
+                        out = [[], [], [], [], [], []]
+            yield done(out)
     return cut
 
 

@@ -1,5 +1,6 @@
 """Each operator on a few rows: nulls, empty and long texts, ties, repeated rows, empty tables, other columns."""
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -227,17 +228,36 @@ def test_meetings_without_a_link_end_nothing(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in near_duplicates.classes(frame).collect()} == want
 
 
-def test_block_pairs_equal_brute_force():
+@pytest.mark.parametrize("sparse", [1, 8, 10**9])
+def test_block_pairs_equal_brute_force(monkeypatch, sparse):
+    """Whether shingles go into the product or are paired one by one, the links join what all links would join."""
+    monkeypatch.setattr(near_duplicates, "SPARSE", sparse)
+    monkeypatch.setattr(near_duplicates, "COLUMNS", 3)
+    monkeypatch.setattr(near_duplicates, "PAIRS", 50)
     rng = np.random.default_rng(6)
     for _ in range(20):
         texts = [" ".join(f"w{x}" for x in rng.integers(0, 3, rng.integers(8, 40))) for _ in range(12)] + ["", "one"]
         weights = [near_duplicates._distinct(t) for t in texts]
         joined = [np.concatenate([np.repeat(np.arange(14), [len(w[0]) for w in weights])]),
                   np.concatenate([w[0] for w in weights]), np.concatenate([w[1] for w in weights])]
-        asked = rng.random((14, 14)) < 0.8
-        got = {(x, y): s for x, y, s in near_duplicates._similar(joined, joined, asked, 0.3)}
+        asked, kinds = rng.random((14, 14)) < 0.8, [rng.integers(0, 6, 14), rng.integers(4, 9, 14)]
+        asked &= kinds[0][:, None] != kinds[1][None, :]
+        p, q = near_duplicates._joint_shares(joined, joined, (14, 14))
+        for x, y in zip(*np.nonzero(asked)):
+            both = np.isin(weights[x][0], weights[y][0])
+            assert p[x, y] == pytest.approx(weights[x][1][both].sum() / max(1, weights[x][1].sum()))
+            assert q[x, y] == pytest.approx(p[y, x])
         want = {(x, y): near_duplicates.probability_jaccard(*weights[x], *weights[y]) for x, y in zip(*np.nonzero(asked))}
-        assert got == {k: pytest.approx(v) for k, v in want.items() if v >= 0.3}
+        got = near_duplicates._similar(joined, joined, asked, kinds, 0.3)
+        assert all(s == pytest.approx(want[x, y]) and s >= 0.3 for x, y, s in got)
+
+        def joins(pairs):
+            parent = {k: k for k in range(9)}
+            for x, y in pairs:
+                u, v = kinds[0][x], kinds[1][y]
+                parent = {k: parent[v] if r == parent[u] else r for k, r in parent.items()}
+            return {frozenset(k for k in parent if parent[k] == r) for r in parent.values()}
+        assert joins([(x, y) for x, y, _ in got]) == joins([k for k, v in want.items() if v >= 0.3])
 
 
 def test_chain_of_links_is_one_class(spark):
@@ -355,3 +375,28 @@ def test_extraction_of_frames(spark):
     frame = spark.createDataFrame([(1, "u", page, 5), (1, "u", page, 5), (None, None, None, None)], "page_id long, url string, html string, text int")
     assert Counter(tuple(r) for r in extraction.extract(frame).collect()) == {(1, "u", "Body"): 2, (None, None, ""): 1}
     assert extraction.extract(frame.limit(0)).count() == 0
+
+
+def test_ids_of_texts_with_special_strings_and_marks(monkeypatch):
+    """20,000 random texts with special strings in any case, combining marks and further blanks: the tokenizer's ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model, words, pick = Tokenizer.from_file(path), packing._Words(path), random.Random(3)
+    parts = ["a", "B", "Tür", "ÜBER", "T\u0308", "a\u0327\u0308", "é", "e\u0329", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>",
+             "<|startoftext|>", "<|", "|>", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\u00a0", "漢字", "🙂", "don't", "DON'T", "12", "3.5",
+             "--", "_", "S", "İ", "ß", "ẞ", "ǅ", "A\u030a", "ﬁ", "\x85", "\u3000"]
+    texts = ["".join(pick.choice(parts) for _ in range(pick.randint(0, 12))) for _ in range(20_000)]
+    ids = lambda t: np.frombuffer(words.of(t.encode()), "<u4").tolist()
+    assert [t for t in texts if ids(t) != model.encode(t, add_special_tokens=False).ids] == []
+    monkeypatch.setattr(packing, "RUN", 5)
+    monkeypatch.setattr(packing, "REMEMBERED", 1000)
+    assert [t for t in texts[:2000] if ids(t) != model.encode(t, add_special_tokens=False).ids] == []
+
+
+def test_words_that_collide_under_any_base_stay_apart(spark):
+    """Two words of 1024 letters, of which one is the other with a and b changed: sums of powers modulo 2**64 are equal."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    words = [f"w{k}" for k in range(34)]
+    rows = [(1, " ".join([*words, one])), (2, " ".join([*words, two])), (3, " ".join([*words, one, "x"]))]
+    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 35, 2: 0, 3: 35}
