@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_SALTS = 1 << 16
+#: Copies of a lookup table that is too large to broadcast.
+COPIES = 16
 HOT_ROWS = 2_000_000
 
 
@@ -24,14 +26,19 @@ def salt(spread: Sequence[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
 
 
+def _may_broadcast(lookup: DataFrame) -> bool:
+    limit = lookup.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return planner_bytes(lookup) <= limit
+
+
 def join_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str, spread: Sequence[str],
-                salts: int = NULL_SALTS) -> DataFrame:
+                salts: int = NULL_SALTS, copies: int = COPIES) -> DataFrame:
     """Left or anti join of a fact table to a table with one row per ``key``.
 
-    It is a plain join: the planner broadcasts a lookup whose written size is small, the adaptive plan one that
-    proves small at run time, and a shuffled join splits partitions that a hot key makes large. The
-    fact side is the outer one, so a split repeats only the few lookup rows of that partition. Rows with a
-    null key match nothing and would all meet in one task; they are dealt by ``spread``, columns that
+    A lookup that the planner takes for small enough to broadcast is joined as it is. Any other is repeated
+    ``copies`` times under numbers, and a fact row looks for the copy of its number: the rows of one
+    key go to as many tasks, whether or not the adaptive plan would split them. Rows with a
+    null key match nothing and would all meet in one task; they are dealt as well, by ``spread``, columns that
     identify a fact row. No job runs while the plan is built.
     """
     if how not in ("left", "left_anti"):
@@ -40,8 +47,12 @@ def join_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str, spread:
     dealt = facts.withColumn("_key", F.coalesce(F.col(key), own_key))
     found = lookup.withColumnRenamed(key, "_found")
     # the second condition keeps a dealt row from a lookup row that should be named like its key
-    joined = dealt.join(found, (F.col("_key") == F.col("_found")) & F.col(key).isNotNull(), how)
-    return joined.drop("_key", "_found")
+    same = (F.col("_key") == F.col("_found")) & F.col(key).isNotNull()
+    if not _may_broadcast(lookup):
+        dealt = dealt.withColumn("_copy", salt(spread, copies))
+        found = found.withColumn("_number", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        same &= F.col("_copy") == F.col("_number")
+    return dealt.join(found, same, how).drop("_key", "_found", "_copy", "_number")
 
 
 def join_counted(facts: DataFrame, groups: DataFrame, key: str, count: str, spread: Sequence[str],

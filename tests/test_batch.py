@@ -179,3 +179,61 @@ def test_latest_files_and_reviewer(site, spark):
 
 def test_reading_before_the_first_run(site, spark):
     assert site.price_ids() == [] and site.names() == {}
+
+
+def test_two_publications_at_once_get_one_number(spark, tmp_path):
+    from threading import Barrier, Thread
+
+    from shelfledger.plans import commits
+    root, results = str(tmp_path), {}
+    for base in range(50):
+        gate = Barrier(2)
+
+        def race(name):
+            gate.wait()
+            results[base, name] = commits.publish(spark, root, base, {"pipeline_run_id": name, "buckets": []})
+        threads = [Thread(target=race, args=(name,)) for name in ("a", "b")]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    assert all({results[base, "a"], results[base, "b"]} == {base + 1, None} for base in range(50))
+    won = {r["commit_seq"]: r["pipeline_run_id"] for r in commits.commits(spark, root).collect()}
+    assert won == {base + 1: next(n for n in "ab" if results[base, n]) for base in range(50)}
+    assert not [p for p in (tmp_path / "audit/commits").iterdir() if not p.name.endswith((".json", ".crc"))]
+
+
+def test_an_upsert_leaves_other_buckets_in_place(site, spark):
+    site.run(site.products("products_1.json", *[tea(str(k)) for k in range(1, 101)]), site.prices("prices_1.csv", (1, "1", "s", 2)), 5, buckets=8)
+    before = set(batch.silver_products(spark, site.root).inputFiles())
+    site.run(site.products("products_2.json", tea("7", "Changed")), site.prices("prices_2.csv", (2, "7", "s", 2)), 6)
+    after = set(batch.silver_products(spark, site.root).inputFiles())
+    held = lambda paths: {p.split("/bucket=")[1].split("/")[0] for p in paths}
+    assert len(held(before - after)) == 1 == len(held(after - before)) and len(held(after)) == 8
+    assert site.names() == {str(k): "Changed" if k == 7 else "Tea" for k in range(1, 101)}
+    # a bucket may lose its last product
+    site.run(site.products("products_3.json", *[tea(str(k), "") for k in range(1, 101) if k != 7]), site.prices("prices_3.csv", (3, "7", "s", 2)), 7)
+    assert site.names() == {"7": "Changed"} and site.price_ids() == [2, 3]
+    assert len(held(batch.silver_products(spark, site.root).inputFiles())) == 1
+
+
+def test_what_runs_leave_behind(site, spark, monkeypatch):
+    """A run that ends leaves no staging, one that fails no part; one that was killed is removed by a vacuum."""
+    import os
+    p1, c1 = site.products("products_1.json", tea("1")), site.prices("prices_1.csv", (1, "1", "s", 2))
+    site.run(p1, c1, 5)
+    assert os.listdir(f"{site.root}/staging") == []
+    layout = batch.price_layout
+    monkeypatch.setattr(batch, "price_layout", lambda rows: rows.selectExpr("nope"))
+    with pytest.raises(Exception, match="nope"):
+        site.run(p1, c1, 6)
+    assert os.listdir(f"{site.root}/staging") == [] and len(os.listdir(f"{site.root}/bronze/prices")) == 1
+    monkeypatch.setattr(batch, "remove", lambda *a: None)  # killed: nothing is put in order, no end is recorded
+    monkeypatch.setattr(batch.audit, "run_event", lambda s, event=batch.audit.run_event, **f: event(s, **{**f, "status": "RUNNING"}))
+    with pytest.raises(Exception, match="nope"):
+        site.run(p1, c1, 7)
+    monkeypatch.undo()
+    assert len(os.listdir(f"{site.root}/bronze/prices")) == 2 and site.price_ids() == [1]
+    assert batch.vacuum(spark, site.root, day(7)) == []
+    assert len(batch.vacuum(spark, site.root, day(8))) == 1 and len(os.listdir(f"{site.root}/bronze/prices")) == 1
+    assert os.listdir(f"{site.root}/staging") == [] and batch.price_layout is layout and site.price_ids() == [1]
