@@ -6,9 +6,8 @@ next arrival is later than all registers. Two registers agree with the probabili
 texts. Equal texts are one. Texts that agree in a band are in one bucket, where each meets the bucket's
 first; what meets is compared exactly, and the links are closed to classes. To begin with a text meets only
 one of these firsts, which is enough for most; then, where a bucket still holds several classes, its texts are
-compared across them: all of them if they are few, else first with two texts of each of their buckets. What large
-buckets still hold of several classes is compared in full, block by block, so that every pair of texts that
-agrees in a band is either of one class or compared.
+compared across them: pair by pair if they are few, and what larger buckets hold is compared in full, block by block. So
+every pair of texts that agrees in a band is either of one class or compared.
 """
 
 from __future__ import annotations
@@ -28,11 +27,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Texts of a bucket that are all compared with each other, where they are not of one class yet.
 FEW = 32
-#: Rounds in which texts of buckets with several classes meet others: first the first text of each of their
-#: buckets, and all texts where these are few, then another text of each. They only leave less to the blocks.
-ROUNDS = 2
 #: Texts and bytes that a block of a large bucket aims at; a longer text is a block of its own.
-BLOCK, BLOCK_BYTES = 1024, 4 << 20
+BLOCK, BLOCK_BYTES = 1024, 1 << 20
 #: Shingles of two blocks that one matrix product covers, and pairs that rarer shingles make at a time. A shingle goes
 #: into the product where it makes more than one in SPARSE of the pairs.
 COLUMNS, PAIRS, SPARSE = 1 << 10, 1 << 20, 128
@@ -366,25 +362,16 @@ def classes(docs: DataFrame) -> DataFrame:
     tested = stage(_meetings(buckets.withColumn("place", place(0)), once=True), "pairs")
     links = stage(verify(rows, tested), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = stage(components(links), "classes")
-    for turn in range(ROUNDS):
-        # the other buckets stay closed in later rounds
-        inside = stage(_open(buckets, found), "buckets")
-        buckets = inside.select("doc_id", "band")
-        if inside.isEmpty():
-            break
-        placed = inside.withColumn("place", place(turn))
-        if turn == 0:
-            more = _meetings(placed).unionByName(_pairs_of_few(inside.filter(F.col("n") <= FEW)))
-        else:
-            more = _meetings(placed.filter(F.col("n") > FEW))
-        apart = more.join(found.toDF("a", "a_class"), "a", "left").join(found.toDF("b", "b_class"), "b", "left").withColumns(
-            {"a_class": F.coalesce("a_class", "a"), "b_class": F.coalesce("b_class", "b")}).filter("a_class != b_class")
-        apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = stage(verify(rows, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
-        tested = tested.unionByName(apart.select("a", "b"))
-        if not new.isEmpty():
-            found = stage(_merged(found, new), "classes")
-    inside = stage(_open(buckets, found).filter(F.col("n") > FEW), "buckets")
+    inside = stage(_open(buckets, found), "buckets")
+    apart = _pairs_of_few(inside.filter(F.col("n") <= FEW)).join(found.toDF("a", "a_class"), "a", "left").join(
+        found.toDF("b", "b_class"), "b", "left").withColumns(
+        {"a_class": F.coalesce("a_class", "a"), "b_class": F.coalesce("b_class", "b")}).filter("a_class != b_class")
+    apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    new = stage(verify(rows, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
+    if not new.isEmpty():
+        found = stage(_merged(found, new), "classes")
+    # what buckets of more texts still hold of several classes
+    inside = stage(_open(inside.filter(F.col("n") > FEW).select("doc_id", "band"), found), "buckets")
     if not inside.isEmpty():
         left = stage(_links_of_many(rows, inside, texts), "links")
         found = stage(_merged(found, left), "classes")
