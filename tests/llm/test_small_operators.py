@@ -400,3 +400,46 @@ def test_words_that_collide_under_any_base_stay_apart(spark):
     rows = [(1, " ".join([*words, one])), (2, " ".join([*words, two])), (3, " ".join([*words, one, "x"]))]
     got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 35, 2: 0, 3: 35}
+
+
+def question(pick, names, numbers, frame):
+    """A word problem: names at sentence starts and inside, numbers, units."""
+    a, b = names
+    x, y, z = numbers
+    things, place, verb, unit = frame
+    return (f"{a} buys {x} {things} at the {place} for {y} dollars. {b} {verb} {z} {unit} to meet {a} there. "
+            f"How many {things} does {b} carry home if {a} keeps {x} of them near the {place}?")
+
+
+def test_questions_come_back_under_other_names_and_numbers(spark, monkeypatch):
+    """500 questions with new names, numbers and units inside other text: found, and no others."""
+    monkeypatch.setattr(decontamination, "BLOCK", 500)  # several blocks
+    pick = random.Random(11)
+    people = ["Tom", "Anna", "Maria", "Pedro", "Li", "Ingrid", "Omar", "Zoe", "Kofi", "Elena"]
+    frames = [(f"thing{k}s", f"shop{k}", f"walks{k % 7}", "miles") for k in range(500)]
+    draw = lambda: (pick.sample(people, 2), pick.sample(range(2, 900), 3))
+    bench = [(k, question(pick, *draw(), f)) for k, f in enumerate(frames)]
+    units = ["km", "yards", "miles"]
+    asked = [(k, f"{prose(k, 30)}. {question(pick, *draw(), (*f[:3], pick.choice(units)))} {prose(k + 1000, 30)}") for k, f in enumerate(frames)]
+    clean = [(1000 + k, f"{prose(k + 5000, 40)}. {pick.choice(people)} met {pick.choice(people)}. How many {prose(k + 9000, 20)}?") for k in range(300)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.id, r.item_id) for r in decontamination.contaminated(spark.createDataFrame(rows(*asked, *clean), SCHEMA), items).collect()}
+    right = {(k, k) for k in range(500)}
+    assert len(got & right) >= 0.95 * 500 and len(got - right) <= 0.02 * len(got)
+
+
+def test_items_with_few_plain_words_are_matched_word_by_word(spark):
+    items = spark.createDataFrame([(1, "What is 12 + 5?"), (2, "3 4 5 6 7 8 9 10 11 12"), (3, "Ann: 7 km")], "item_id long, text string")
+    asked = [(1, "So what is 12 + 5? I wonder"), (2, "What is 13 + 5?"), (3, "1 2 3 4 5 6 7 8 9 10 11 12 13"), (4, "ann 7 km away"), (5, "Bob: 7 km")]
+    got = {(r.id, r.item_id) for r in decontamination.contaminated(spark.createDataFrame(rows(*asked), SCHEMA), items).collect()}
+    assert got == {(1, 1), (3, 2), (4, 3)}
+
+
+def test_a_window_that_all_items_share_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "HOT_WINDOW", 20)
+    start = "read the following short passage and then answer the question below "
+    bench = [(k, start + prose(k, 12)) for k in range(60)]
+    asked = [(k, f"{prose(k + 100, 9)} {start}{prose(k, 12)}") for k in range(0, 60, 7)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.id, r.item_id): r.coverage for r in decontamination.contaminated(spark.createDataFrame(rows(*asked), SCHEMA), items).collect()}
+    assert {k for k, v in got.items() if v == 1} == {(k, k) for k, _ in asked}
