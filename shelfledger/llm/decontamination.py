@@ -244,7 +244,9 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_decontamination(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, unchanged. A null or empty text holds none and stays; each row is judged by its id
+    and text, so repeated rows go or stay together, null ids too; an empty table or benchmark takes nothing away; columns
+    besides those of documents are not kept."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     held = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("id", "key").distinct()
     keyed = docs.select(columns).withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))

@@ -203,7 +203,15 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language, with all their columns; those without a letter go."""
+    """Documents in a language that could be told, with all their columns; ``lang`` becomes the language that was told.
+
+    Those without one go: a null or empty text, one without a letter, and, where no row is labelled, those are all
+    there are to go, since nothing can be told then and ``lang`` stays as it was. Repeated rows, null ids and long
+    texts are judged like any other; an empty table gives no rows; columns besides those of documents are not kept.
+    """
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    found = identify(docs, fit(docs), *columns[1:])
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(columns)
+    model = fit(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}")).select(columns)
+    found = identify(docs, model, *columns[1:])
+    return found.filter(F.col("lang_pred") != UNKNOWN).select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")

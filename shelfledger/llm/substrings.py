@@ -312,7 +312,10 @@ FROM words LEFT JOIN kept USING (doc_id)
 
 
 def stage_substrings(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages; a text that loses nothing stays as it was."""
+    """Documents without their repeated passages; a text that loses nothing stays as it was, a null one too.
+
+    All rows stay, those that lose every word with an empty text; of repeated rows each loses what they share. Null ids are kept;
+    an empty table gives no rows; columns besides those of documents are not kept."""
     kept = remove_repeats(docs, "text", "lang", "source", "n_chars")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return kept.select("doc_id", text.alias("text"), "lang", "source", F.when(
