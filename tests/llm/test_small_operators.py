@@ -443,3 +443,33 @@ def test_a_window_that_all_items_share_is_not_broadcast(spark, monkeypatch):
     items = spark.createDataFrame(bench, "item_id long, text string")
     got = {(r.id, r.item_id): r.coverage for r in decontamination.contaminated(spark.createDataFrame(rows(*asked), SCHEMA), items).collect()}
     assert {k for k, v in got.items() if v == 1} == {(k, k) for k, _ in asked}
+
+
+def test_stages_on_nulls_repeats_and_no_rows(spark, docs, texts, empty, tmp_path):
+    """Every stage of the pipeline on rows of all kinds: which rows stay, with which columns."""
+    spark.createDataFrame([(1, prose(77, 30)), (None, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    sf, columns = str(tmp_path), ["doc_id", "text", "lang", "source", "n_chars"]
+    stages = {"languages": languages.stage_languages, "substrings": substrings.stage_substrings,
+              "decontamination": decontamination.stage_decontamination, "near_duplicates": near_duplicates.stage_near_duplicates}
+    for stage in stages.values():
+        got = stage(spark, empty, sf)
+        assert got.columns == columns and got.count() == 0
+    count = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    every = Counter((i, t) for i, t in texts)
+    letters = Counter((i, t) for i, t in texts if t and any(map(str.isalpha, t)))
+    got = stages["languages"](spark, docs, sf)
+    assert count(got) == letters and {r.lang for r in got.collect()} == {"en"}
+    assert count(stages["languages"](spark, docs.withColumn("lang", F.lit(None).cast("string")), sf)) == letters
+    assert count(stages["decontamination"](spark, docs, sf)) == every
+    held = spark.createDataFrame(rows((1, prose(77, 30)), (1, prose(77, 30)), (None, "x " + prose(77, 30)), (2, None)), SCHEMA)
+    assert count(stages["decontamination"](spark, held, sf)) == Counter([(2, None)])
+    got = stages["substrings"](spark, docs, sf)
+    assert Counter(r.doc_id for r in got.collect()) == Counter(i for i, _ in texts)
+    assert {r.text for r in got.filter("doc_id = 5").collect()} == {None}
+
+
+def test_pipeline_packs_nothing_of_an_empty_table(spark, empty, tmp_path):
+    import corpus_pipeline
+    empty.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
