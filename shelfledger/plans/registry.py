@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfledger.functions.text import joined
 from shelfledger.functions.times import date_window
 from shelfledger.operators import audit, drift, keyed, prices, products, quality, ranking
 from shelfledger.plans import batch, dashboard, figures, gold
 from shelfledger.plans.warehouse import decide, known_stores, lake, loaded, loaded_runs, quarantine_of, warehouse
+from shelfledger.schemas import VERDICTS
 from shelfledger.session import configure, scratch_dir
 from shelfledger.sources import mapping, tables
 from shelfledger.streaming import prices as stream
@@ -304,6 +306,16 @@ def batch_quarantine(spark, sf_dir):
         "dataset_name", "failure_reason").agg(F.count(F.lit(1)).alias("rejected_records"))
 
 
+@query
+def verdict_report(spark, sf_dir):
+    """The report of a load's verdicts, read back from its JSON."""
+    schema = T.StructType([f for f in VERDICTS.fields if f.name != "pipeline_run_id"])
+    rows = spark.read.schema(schema).json(f"{loaded(spark, sf_dir)}/report")
+    return rows.groupBy("status", "validator").agg(
+        F.count(F.lit(1)).alias("verdicts"), F.countDistinct("barcode").alias("barcodes"), F.min("confidence").alias("least_confidence"),
+        F.count_if(F.size("reasons") > 0).alias("with_reasons"), F.count_if(F.col("validated_at").isNull()).alias("without_time"))
+
+
 @query
 def batch_runs_totals(spark, sf_dir):
     """Counts of three loads into one root, in the order of their publication."""

@@ -108,7 +108,7 @@ def _load(spark: SparkSession, sf_dir: str) -> str:
     product_path, price_path = mapping.write_landed_files(spark, sf_dir, f"{root}/landed")
     batch.run_batch(spark, f"{root}/tables", product_path, price_path,
                     known_stores(spark, sf_dir), product_lines=True,
-                    as_of=datetime.fromisoformat(mapping.AS_OF))
+                    as_of=datetime.fromisoformat(mapping.AS_OF), report=f"{root}/tables/report")
     return f"{root}/tables"
 
 

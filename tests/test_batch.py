@@ -237,3 +237,51 @@ def test_what_runs_leave_behind(site, spark, monkeypatch):
     assert batch.vacuum(spark, site.root, day(7)) == []
     assert len(batch.vacuum(spark, site.root, day(8))) == 1 and len(os.listdir(f"{site.root}/bronze/prices")) == 1
     assert os.listdir(f"{site.root}/staging") == [] and batch.price_layout is layout and site.price_ids() == [1]
+
+
+def _groups_to_read(paths, column, value):
+    """Row groups of Parquet files, and those whose statistics let them hold a value."""
+    import pyarrow.parquet as pq
+    total = held = 0
+    for path in paths:
+        meta = pq.ParquetFile(path.removeprefix("file:")).metadata
+        at = next(k for k in range(meta.num_columns) if meta.row_group(0).column(k).path_in_schema == column) if meta.num_row_groups else 0
+        for group in range(meta.num_row_groups):
+            stats = meta.row_group(group).column(at).statistics
+            total, held = total + 1, held + (stats.min <= value <= stats.max)
+    return total, held
+
+
+@pytest.mark.parametrize("by, value", [("barcode", "b0042"), ("store_id", "s042")])
+def test_a_lookup_reads_few_row_groups(spark, tmp_path, by, value):
+    """Either copy of the prices, by its own key: what statistics leave to read is under a tenth."""
+    from pyspark.sql import functions as F
+    n = F.col("id")
+    rows = spark.range(40_000).select(
+        F.format_string("e%06d", n).alias("event_id"), F.format_string("b%04d", F.pmod(n * 7919, F.lit(500))).alias("barcode"),
+        F.format_string("s%03d", F.pmod(n * 104729, F.lit(90))).alias("store_id"), F.lit(1).cast("decimal(10,2)").alias("price"),
+        F.timestamp_seconds(F.lit(1_736_000_000) + F.pmod(n * 31, F.lit(86_400 * 20))).alias("event_timestamp"))
+    path = str(tmp_path / by)
+    (batch.price_layout(rows, by).write.option("parquet.block.size", 16_384).option("parquet.page.size", 2048)
+     .option("parquet.enable.dictionary", "false").partitionBy("event_month").parquet(path))
+    written = spark.read.parquet(path)
+    total, held = _groups_to_read(written.inputFiles(), by, value)
+    assert total >= 40 and held < 0.1 * total
+    found = written.filter(F.col(by) == value)
+    assert found.count() == rows.filter(F.col(by) == value).count() > 0
+    assert f"PushedFilters: [IsNotNull({by}), EqualTo({by},{value})]" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_store_is_looked_up_in_its_own_copy(site, spark):
+    site.run(site.products("products_1.json", tea("1"), tea("2")), site.prices("prices_1.csv", (1, "1", "s", 2), (2, "2", "s", 3)), 5)
+    site.run(site.products("products_2.json", tea("2", "")), site.prices("prices_2.csv", (3, "1", "s", 4)), 6)
+    of_store = batch.prices_of(spark, site.root, store_id="s")
+    assert sorted(int(r["event_id"][-4:]) for r in of_store.collect()) == [1, 3]  # a retraction counts in either copy
+    assert all("prices_by_store" in f for f in of_store.inputFiles() if "/silver/prices" in f)
+    assert [int(r["event_id"][-4:]) for r in batch.prices_of(spark, site.root, barcode="1", store_id="s").collect()] == [1, 3]
+
+
+def test_verdict_report(site, spark, tmp_path):
+    site.run(site.products("products_1.json", tea("1"), tea("2", "")), site.prices("prices_1.csv", (1, "1", "s", 2)), 5, report=str(tmp_path / "report"))
+    told = {r["barcode"]: (r["status"], bool(r["reasons"]), r["validated_at"] is not None) for r in spark.read.json(str(tmp_path / "report")).collect()}
+    assert told["1"][0] == "pass" and told["2"][:2] == ("reject", True) and all(t[2] for t in told.values())
