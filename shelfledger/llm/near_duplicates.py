@@ -28,10 +28,10 @@ REGISTERS = BANDS * ROWS
 #: Texts of a bucket that are all compared with each other, where they are not of one class yet.
 FEW = 32
 #: Texts and bytes that a block of a large bucket aims at; a longer text is a block of its own.
-BLOCK, BLOCK_BYTES = 1024, 1 << 20
+BLOCK, BLOCK_BYTES = 2048, 2 << 20
 #: Shingles of two blocks that one matrix product covers, and pairs that rarer shingles make at a time. A shingle goes
 #: into the product where it makes more than one in SPARSE of the pairs.
-COLUMNS, PAIRS, SPARSE = 1 << 10, 1 << 20, 128
+COLUMNS, PAIRS, SPARSE = 1 << 9, 1 << 20, 128
 #: Most longs of the table of bits that keeps texts from being shuffled needlessly.
 SIEVE = 1 << 20
 #: Stands for a null id in joins.
@@ -298,9 +298,14 @@ def _compare_blocks(least: float):
         asked = kinds[0][:, None] != kinds[1][None, :]
         if parts[0] is parts[1]:
             asked &= ids[0][:, None] < ids[1][None, :]
-        same = bands[0][:, None, :] == bands[1][None, :, :]
         band = table.column("band")[0].as_py()
-        asked &= bands[0][np.arange(len(ids[0]))[:, None], same.argmax(2)] == band if asked.size else asked
+        shared = np.zeros(asked.shape, bool)  # a band before this one
+        for k in range(BANDS):
+            here = bands[0][:, k] == band, bands[1][:, k] == band
+            equal = bands[0][:, k, None] == bands[1][None, :, k]
+            asked &= ~(here[0][:, None] & here[1][None, :] & shared)
+            shared |= equal
+        asked &= (bands[0] == band).any(1)[:, None] & (bands[1] == band).any(1)[None, :]
         found = _similar(blocks[0], blocks[1], asked, kinds, least) if asked.any() else []
         x, y = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
         return pa.table({"a": ids[0][x], "b": ids[1][y], "a_class": kinds[0][x], "b_class": kinds[1][y],
@@ -315,8 +320,7 @@ def _links_of_many(docs: DataFrame, inside: DataFrame, texts: DataFrame, least:
     The texts of a bucket are dealt into blocks and every pair of blocks is a task, so the size of a
     bucket decides how many tasks there are and not how large one is; no row is made per pair.
     """
-    many = inside.join(texts.select("doc_id", "bytes"), "doc_id")
-    dealt, groups = (stage(x, "blocks") for x in _groups_of_blocks(many))
+    dealt, groups = (stage(x, "blocks") for x in _groups_of_blocks(inside))
     tasks = stage(_tasks(groups), "tasks")
     sides = [tasks.select("task", "band", f"{x}.own", f"{x}.kind", F.col(f"{x}_block").alias("block"), F.lit(k).alias("side"))
              for k, x in ((0, "a"), (1, "b"))]
@@ -355,7 +359,7 @@ def classes(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")), "texts")
     # the copies of a text have its bands, so those of its least id are enough
     banded = sketched.join(texts.select("doc_id"), "doc_id", "left_semi").select(
-        "doc_id", F.explode("bands").alias("band")).distinct()
+        "doc_id", "bytes", F.explode("bands").alias("band")).distinct()
     crowded = banded.groupBy("band").count().filter("count > 1").select("band")
     buckets = stage(banded.join(crowded, "band"), "buckets")
     place = lambda salt: F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id")
@@ -371,7 +375,7 @@ def classes(docs: DataFrame) -> DataFrame:
     if not new.isEmpty():
         found = stage(_merged(found, new), "classes")
     # what buckets of more texts still hold of several classes
-    inside = stage(_open(inside.filter(F.col("n") > FEW).select("doc_id", "band"), found), "buckets")
+    inside = stage(_open(inside.filter(F.col("n") > FEW).select("doc_id", "bytes", "band"), found), "buckets")
     if not inside.isEmpty():
         left = stage(_links_of_many(rows, inside, texts), "links")
         found = stage(_merged(found, left), "classes")
