@@ -61,13 +61,22 @@ def test_lookup_join_equals_plain_join(spark, how, threshold):
 
 
 def test_lookup_join_shuffles_each_side_once(spark):
-    facts, lookup = spark.range(100).selectExpr("id", "string(id % 7) AS k"), keys(spark, "k", "1", "2")
+    """A lookup too large to broadcast is copied under numbers, so that a hot key is not left to the adaptive plan; any
+    other goes to the planner as it is."""
+    facts, lookup = spark.range(100).selectExpr("id", "string(id % 7) AS k"), spark.range(3).selectExpr("string(id) AS k")
+    plan = lambda: skew.join_lookup(facts, lookup, "k", "left", ["id"])._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = skew.join_lookup(facts, lookup, "k", "left", ["id"])._jdf.queryExecution().executedPlan().toString()
+        copied = plan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 2 and "Generate explode" not in plan
+    assert copied.count("Exchange hashpartitioning") == 2 and copied.count("Generate explode") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        small = plan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small and "Generate explode" not in small
 
 
 # -- audit ---------------------------------------------------------------------------------------
