@@ -370,6 +370,59 @@ def test_extraction():
     assert (extraction.classify(tree, table[:, :-1]) == (table[:, -1] == 1)).all()
 
 
+PROSE = "Some plain words about the river and the old town that run on for a while."
+
+
+@pytest.mark.parametrize("part, want", [
+    # sections of an article whose names could be furniture's
+    (f'<section id="related-work"><h2>Related work</h2><p>{PROSE}</p></section>', ["Related work", PROSE]),
+    ('<section id="discussion"><h2>Discussion</h2><p>We found it so.</p></section>', ["Discussion", "We found it so."]),
+    (f'<section id="menu-planning"><h2>Menu planning</h2><p>{PROSE}</p></section>', ["Menu planning", PROSE]),
+    (f'<div id="legal-framework"><p>{PROSE}</p></div>', [PROSE]),
+    ("<blockquote class='comment'>A short remark of the author.</blockquote>", ["A short remark of the author."]),
+    ("<div class='search-results'>Eleven hits were seen.</div>", ["Eleven hits were seen."]),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold.</p>", ["Let x=1 hold."]),
+    ("<ul><li>First thing<li>Second <a href=1>thing</a> too<li>Third</ul>", ["First thing", "Second thing too", "Third"]),
+    ("<p><a href=1>Read the report</a></p>", ["Read the report"]),
+    ("<table><tr><th>Year</th><th>Sum</th></tr><tr><td>2001</td><td>5</td></tr></table>", ["Year", "Sum", "2001", "5"]),
+    # furniture inside it
+    ("<ul><li><a href=1>More news</a><li><a href=2>Sports</a><li><a href=3>Weather</a></ul>", []),
+    ("<div class='related-posts'><h3>Related posts</h3><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul></div>", []),
+    ("<div class='share-buttons'>Share this on the web</div>", []),
+    (f"<section id='comments'><h3>2 comments</h3><div class='comment'><p>{PROSE}</p></div></section>", []),
+    (f"<ol><li class='comment'><p>{PROSE}</p></li></ol>", []),
+    (f"<article class='comment'><p>{PROSE}</p></article>", []),
+    ("<p class='advert'>Buy now and save a lot.</p>", []),
+    ("<div class='notice'>This site will be down tonight for a while, sorry for that.</div>", []),
+    ("<form><label>Mail</label><p>Enter your mail.</p></form>", [])])
+def test_extraction_inside_articles(part, want):
+    page = (f"<body><nav><a href=/>Home</a></nav><article><h1>Title here</h1><p>{PROSE}</p>{part}<p>{PROSE}</p></article>"
+            "<footer>c 2020</footer></body>")
+    assert extraction.main_text(page, extraction.fit()).split("\n") == ["Title here", PROSE, *want, PROSE]
+
+
+def test_extraction_without_articles():
+    tree = extraction.fit()
+    assert extraction.main_text("<body><h1>A short heading</h1><p>One short line.</p><p>Another one.</p></body>", tree) == (
+        "A short heading\nOne short line.\nAnother one.")
+    page = (f"<body><div class=nav><a href=1>Home</a> <a href=2>News</a></div><h1>A short heading</h1><p>One line.</p><p>{PROSE}</p>"
+            "<div>Copyright 2020 by me</div></body>")
+    assert extraction.main_text(page, tree) == f"A short heading\nOne line.\n{PROSE}"
+    # a form around the whole page, a heading inside main
+    assert extraction.main_text(f"<form id=f><div id=main><article><h1>T</h1><p>{PROSE}</p></article></div></form>", tree) == f"T\n{PROSE}"
+    assert extraction.main_text(f"<main><header><h1>T</h1></header><p>{PROSE}</p></main>", tree) == f"T\n{PROSE}"
+    # nothing decides but the blocks themselves
+    # the tree asks the blocks and their neighbours, not only where they stand
+    assert {"link_density", "words", "density_before", "words_after", "density_after"} <= set(_features(tree))
+
+
+def _features(tree):
+    if tree.left is not None:
+        yield extraction.FEATURES[tree.feature]
+        yield from _features(tree.left)
+        yield from _features(tree.right)
+
+
 def test_extraction_of_frames(spark):
     page = "<article><p>Body</p></article><footer>f</footer>"
     frame = spark.createDataFrame([(1, "u", page, 5), (1, "u", page, 5), (None, None, None, None)], "page_id long, url string, html string, text int")
