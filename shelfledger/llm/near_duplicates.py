@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfledger.llm.common import mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds, word_hashes
 from shelfledger.llm.components import components
+from shelfledger.operators.skew import join_counted
 from shelfledger.session import stage
 
 SHINGLE = 5
@@ -36,6 +37,10 @@ COLUMNS, PAIRS, SPARSE = 1 << 9, 1 << 20, 128
 SIEVE = 1 << 20
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
+#: What finds the row that stands for a text.
+KEY = ["id", "text_key"]
+#: A class with more than one in HOT_SHARE of the texts is joined by broadcast; there can't be more of them.
+HOT_SHARE = 4096
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE
@@ -132,27 +137,34 @@ def _compare(batches):
                                          ["a", "b", "similarity"])
 
 
-def _sieved(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids and some others, so that the join that follows shuffles few texts.
+def _sieved(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows with these keys and some others, so that the join that follows shuffles few texts.
 
-    Ids set bits of a table of at most SIEVE longs, which is all that is broadcast.
+    Keys set bits of a table of at most SIEVE longs, which is all that is broadcast.
     """
-    words = min(SIEVE, 1 << max(10, ids.count().bit_length()))
-    hashed = F.xxhash64("doc_id")
+    words = min(SIEVE, 1 << max(10, wanted.count().bit_length()))
+    hashed = F.xxhash64(*KEY)
     word, bit = F.pmod(hashed, F.lit(words)), F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int")
-    bits = ids.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    return docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word").filter(
+    bits = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    return rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word").filter(
         F.call_function("getbit", "bits", "bit") == 1).drop("word", "bit", "bits")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of ids whose texts are at least so similar, with their similarity."""
-    needs = pairs.select(F.col("a").alias("doc_id"), "a", "b").unionByName(
-        pairs.select(F.col("b").alias("doc_id"), "a", "b"))
-    texts = _sieved(docs.select("doc_id", "text"), needs.select("doc_id"))
-    both = needs.join(texts, "doc_id").groupBy("a", "b").agg(
-        F.max(F.when(F.col("doc_id") == F.col("a"), F.col("text"))).alias("a_text"),
-        F.max(F.when(F.col("doc_id") == F.col("b"), F.col("text"))).alias("b_text"))
+def _once(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """KEY and text of these keys (and some others), each once however often the row is repeated."""
+    return _sieved(rows.select(*KEY, "text"), wanted).groupBy(*KEY).agg(F.max("text").alias("text"))
+
+
+def verify(rows: DataFrame, texts: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts are at least so similar, with their similarity.
+
+    ``texts`` names the row (KEY) that stands for a node."""
+    needs = pairs.select(F.col("a").alias("node"), "a", "b").unionByName(
+        pairs.select(F.col("b").alias("node"), "a", "b"))
+    keyed = stage(needs.join(texts.select("node", *KEY), "node"), "needs")
+    both = keyed.join(_once(rows, keyed), KEY).groupBy("a", "b").agg(
+        F.max(F.when(F.col("node") == F.col("a"), F.col("text"))).alias("a_text"),
+        F.max(F.when(F.col("node") == F.col("b"), F.col("text"))).alias("b_text"))
     return both.mapInArrow(_compare, "a long, b long, similarity double").filter(F.col("similarity") >= least)
 
 
@@ -160,17 +172,17 @@ def _meetings(buckets: DataFrame, once: bool = False) -> DataFrame:
     """Pairs of every text of a bucket with the bucket's first by ``place``, or with ``once`` only with the
     first of all firsts that the text meets; fewer rows than texts, whatever the size of the bucket."""
     ends = buckets.groupBy("band").agg(F.min("place").alias("first"))
-    met = buckets.join(ends, "band").filter("doc_id != first.doc_id")
+    met = buckets.join(ends, "band").filter("node != first.node")
     if once:
-        met = met.groupBy("doc_id").agg(F.min("first").alias("first"))
-    return met.select(F.least("doc_id", "first.doc_id").alias("a"),
-                      F.greatest("doc_id", "first.doc_id").alias("b")).distinct()
+        met = met.groupBy("node").agg(F.min("first").alias("first"))
+    return met.select(F.least("node", "first.node").alias("a"),
+                      F.greatest("node", "first.node").alias("b")).distinct()
 
 
 def _open(buckets: DataFrame, found: DataFrame) -> DataFrame:
     """The texts of buckets that hold several classes, each with its class and the size n of the bucket."""
-    held = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
+    held = buckets.join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
     sizes = held.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"),
                                      F.max("component").alias("hi")).filter("lo < hi").select("band", "n")
     return held.join(sizes, "band")
@@ -178,22 +190,22 @@ def _open(buckets: DataFrame, found: DataFrame) -> DataFrame:
 
 def _pairs_of_few(inside: DataFrame) -> DataFrame:
     """All pairs of texts of different classes in buckets of at most FEW texts."""
-    members = inside.groupBy("band").agg(F.collect_list(F.struct("doc_id", "component")).alias("m"))
+    members = inside.groupBy("band").agg(F.collect_list(F.struct("node", "component")).alias("m"))
     pairs = F.flatten(F.transform("m", lambda x: F.transform(
-        F.filter("m", lambda y: (x["doc_id"] < y["doc_id"]) & (x["component"] != y["component"])),
-        lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b")))))
+        F.filter("m", lambda y: (x["node"] < y["node"]) & (x["component"] != y["component"])),
+        lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))
     return members.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
 
 
 def _groups_of_blocks(inside: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Texts (band, doc_id, component, bytes) with the group and block they are dealt to, and the groups with
+    """Texts (band, node, component, bytes) with the group and block they are dealt to, and the groups with
     their number of blocks. A class that fills a block has a group of its own in a bucket; the others share one."""
     key = ["band", "own", "kind"]
     sizes = inside.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).withColumns(
         {"own": F.col("n") >= BLOCK, "kind": F.when(F.col("n") >= BLOCK, F.col("component")).otherwise(F.lit(0))})
     groups = sizes.groupBy(*key).agg(F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("parts"))
     dealt = inside.join(sizes.select("band", "component", "own", "kind"), ["band", "component"]).join(groups, key).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), "parts")).drop("parts")
+        "block", F.pmod(F.xxhash64("node"), "parts")).drop("parts")
     return dealt, groups
 
 
@@ -289,7 +301,7 @@ def _compare_blocks(least: float):
         ids, kinds, bands, blocks = [], [], [], []
         for part in parts:
             part = part.combine_chunks()
-            ids.append(part.column("doc_id").to_numpy())
+            ids.append(part.column("node").to_numpy())
             kinds.append(part.column("component").to_numpy())
             bands.append(pa.concat_arrays(part.column("bands").chunks).flatten().to_numpy().reshape(len(part), BANDS)
                          if len(part) else np.zeros((0, BANDS), np.int64))
@@ -313,7 +325,7 @@ def _compare_blocks(least: float):
     return compare
 
 
-def _links_of_many(docs: DataFrame, inside: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def _links_of_many(rows: DataFrame, inside: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Links (a, b, a_class, b_class, similarity) between different classes of these buckets, enough to connect
     all classes that links connect.
 
@@ -327,10 +339,10 @@ def _links_of_many(docs: DataFrame, inside: DataFrame, texts: DataFrame, least:
     alone = F.expr("a = b AND a_block = b_block")
     sides[1] = sides[1].join(tasks.filter(alone).select("task"), "task", "left_anti")
     needs = sides[0].unionByName(sides[1]).join(dealt, ["band", "own", "kind", "block"]).select(
-        "task", "band", "side", "doc_id", "component")
-    with_bands = _sieved(docs.select("doc_id", "text"), dealt.select("doc_id")).groupBy("doc_id").agg(F.max("text").alias("text")).join(
-        texts.select("doc_id", "bands"), "doc_id")
-    return needs.join(with_bands, "doc_id").groupBy("task").applyInArrow(
+        "task", "band", "side", "node", "component")
+    keyed = stage(texts.join(dealt.select("node").distinct(), "node").select("node", *KEY, "bands"), "needs")
+    with_bands = _once(rows, keyed).join(keyed, KEY).select("node", "text", "bands")
+    return needs.join(with_bands, "node").groupBy("task").applyInArrow(
         _compare_blocks(least), "a long, b long, a_class long, b_class long, similarity double")
 
 
@@ -343,45 +355,61 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     return every.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, text_key (a digest of the text) and class_id, the least id of its class of near
-    duplicates.
-
-    Equal texts are of one class, null being empty. A text without words is like its copies alone; one of up
-    to five words is one shingle. An id that is null gets a class only from copies of its text. Rows
-    with one id must have one text (the greater is compared). Other columns are not read; an empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = rows.withColumn("text_key", F.unhex(F.md5("text")))
-    sketched = stage(keyed.mapInArrow(_sketch_rows, "doc_id long, text_key binary, bands array<long>, bytes long"), "sketches")
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, text_key) and the distinct texts: text_key, the least id of the class, and the row (id, text_key)
+    that stands for it."""
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("text_key", F.unhex(F.md5("text")))
+    sketched = stage(rows.select("doc_id", "text_key", "text").mapInArrow(
+        _sketch_rows, "doc_id long, text_key binary, bands array<long>, bytes long"), "sketches")
+    # a text is a node of the graph, whatever ids its rows have; the number is fixed by writing it
     texts = stage(sketched.groupBy("text_key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")), "texts")
-    # the copies of a text have its bands, so those of its least id are enough
-    banded = sketched.join(texts.select("doc_id"), "doc_id", "left_semi").select(
-        "doc_id", "bytes", F.explode("bands").alias("band")).distinct()
+        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")).withColumns(
+        {"id": F.coalesce("doc_id", F.lit(NO_ID)), "node": F.monotonically_increasing_id()}), "texts")
+    banded = texts.select("node", "bytes", F.explode(F.array_distinct("bands")).alias("band"))
     crowded = banded.groupBy("band").count().filter("count > 1").select("band")
     buckets = stage(banded.join(crowded, "band"), "buckets")
-    place = lambda salt: F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id")
+    place = lambda salt: F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node")
     tested = stage(_meetings(buckets.withColumn("place", place(0)), once=True), "pairs")
-    links = stage(verify(rows, tested), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = stage(verify(rows, texts, tested), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = stage(components(links), "classes")
     inside = stage(_open(buckets, found), "buckets")
     apart = _pairs_of_few(inside.filter(F.col("n") <= FEW)).join(found.toDF("a", "a_class"), "a", "left").join(
         found.toDF("b", "b_class"), "b", "left").withColumns(
         {"a_class": F.coalesce("a_class", "a"), "b_class": F.coalesce("b_class", "b")}).filter("a_class != b_class")
     apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-    new = stage(verify(rows, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
+    new = stage(verify(rows, texts, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
     if not new.isEmpty():
         found = stage(_merged(found, new), "classes")
     # what buckets of more texts still hold of several classes
-    inside = stage(_open(inside.filter(F.col("n") > FEW).select("doc_id", "bytes", "band"), found), "buckets")
+    inside = stage(_open(inside.filter(F.col("n") > FEW).select("node", "bytes", "band"), found), "buckets")
     if not inside.isEmpty():
         left = stage(_links_of_many(rows, inside, texts), "links")
         found = stage(_merged(found, left), "classes")
-    of_text = texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "text_key", F.coalesce("component", "doc_id").alias("class_id"))
-    return sketched.select("doc_id", "text_key").join(of_text, "text_key").select("doc_id", "text_key", "class_id")
+    # what the texts of one class have in common
+    members = stage(texts.select("node", "doc_id", *KEY).join(found, "node").withColumn(
+        "component", F.col("component").cast("string")), "classes")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), *KEY)
+    named = members.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(own).alias("first"), F.count("*").alias("n"))
+    named = join_counted(members.select("component", "node", "text_key"), named, "component", "n", ["node"],
+                         max(1, members.count() // HOT_SHARE))
+    of_text = named.select("text_key", "class_id", "first.id", F.col("first.text_key").alias("class_key")).unionByName(
+        texts.join(found, "node", "left_anti").select("text_key", F.col("doc_id").alias("class_id"), "id",
+                                                      F.col("text_key").alias("class_key")))
+    return sketched.select("doc_id", "text_key"), stage(of_text, "classes")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, text_key (a digest of the text), class_id, the least id of its class of near
+    duplicates, and class_key, the digest of the text that stands for the class.
+
+    Equal texts are of one class, null being empty. A text without words is like its copies alone; one of up
+    to five words is one shingle. Texts are linked whatever ids they have: a row without an id gets the class of its
+    text, whose id is null only if no row of the class has one. Texts under one id are classes of their own unless they
+    are similar; then class_key tells classes with one class_id apart. Other columns are not read; an empty table gives no rows.
+    """
+    rows, of_text = _classified(docs)
+    return rows.join(of_text, "text_key").select("doc_id", "text_key", "class_id", "class_key")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -389,10 +417,11 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document, by id, of every class, once. A document without an id stays unless a document
-    with one has its text; of several with one text one stays."""
+    """The first document, by id, of every class, once. One without an id stays only where its class has no other; of
+    several with that id or without one the least text digest decides."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    own_id = F.coalesce("doc_id", F.lit(NO_ID)).alias("id")
-    first = classes(docs).filter("doc_id = class_id OR class_id IS NULL").select(own_id, "text_key").distinct()
-    keyed = docs.select(*columns, own_id, F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"))
-    return keyed.join(first, ["id", "text_key"], "left_semi").dropDuplicates(["id", "text_key"]).select(columns)
+    _, of_text = _classified(docs)
+    first = of_text.select("id", F.col("class_key").alias("text_key")).distinct()
+    keyed = docs.select(*columns, F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
+                        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"))
+    return keyed.join(first, KEY, "left_semi").dropDuplicates(KEY).select(columns)

@@ -155,6 +155,22 @@ def test_classes_of_near_duplicates(docs, empty):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 5, 7, 8, 9, None, 10, 11, 12, 13])
 
 
+def test_near_copies_without_an_id_or_under_one_id(spark):
+    base, other = prose(31, 200), prose(32, 200)
+    near = base.replace(base.split()[3], "changed", 1)
+    frame = spark.createDataFrame(
+        [(None, near, None, None, 1), (1, base, None, None, 1), (5, base, None, None, 1), (5, other, None, None, 1), (None, prose(33, 50), "x", None, 1),
+         (None, prose(34, 50), None, None, 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r.doc_id, r.text_key): (r.class_id, r.class_key) for r in near_duplicates.classes(frame).collect()}
+    key = lambda text: hashlib.md5(text.encode()).digest()
+    assert got[None, key(near)] == got[1, key(base)] == got[5, key(base)] == (1, key(base))
+    assert got[5, key(other)] == (5, key(other))
+    assert got[None, key(prose(33, 50))] == (None, key(prose(33, 50))) and len(got) == 6
+    kept = near_duplicates.stage_near_duplicates(spark, frame, "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(1, base), (5, other), (None, prose(33, 50)), (None, prose(34, 50))])
+
+
 def test_probability_jaccard_is_its_definition():
     rng = np.random.default_rng(1)
     for _ in range(50):
