@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger.functions.numbers import safe_double
-from shelfledger.functions.text import SEPARATOR, UUID_SHAPE, canonical_uuid, reason_text, stripped
+from shelfledger.functions.text import SEPARATOR, canonical_uuid, reason_text, stripped, uuid_bytes, uuid_text
 from shelfledger.functions.times import instant, parse_timestamp
 from shelfledger.operators.skew import HOT_ROWS, join_counted, join_lookup
 from shelfledger.schemas import MONEY, PRICE_COLUMNS, RAW_LINE
@@ -23,23 +23,51 @@ REPEATED = "Duplicate event ID in source file"
 # repeat their expressions at every use.
 TYPED = ("event_key", "barcode_key", "store_key", "price_value", "is_promotion", "stock_value",
          "event_time")
+# Raw texts and the keys stripped from them, which are null together.
+_STRIPPED = {"event_id": "event_key", "barcode": "barcode_key", "store_id": "store_key"}
+_VALUES = TYPED[3:]
 
 
 def typed_prices(raw: DataFrame) -> DataFrame:
     """Raw rows plus their stripped and parsed fields."""
+    return _with_values(_with_keys(raw))
+
+
+def _with_keys(raw: DataFrame) -> DataFrame:
     if RAW_LINE not in raw.columns:
         raw = raw.withColumn(RAW_LINE, F.lit(None).cast("string"))
-    text = {"event_key": "event_id", "barcode_key": "barcode", "store_key": "store_id",
-            "price_value": "price"}
-    return (raw.withColumns({new: stripped(F.col(old)) for new, old in text.items()})
+    return (raw.withColumns({key: stripped(F.col(text)) for text, key in _STRIPPED.items()})
+            .withColumn("event_key", canonical_uuid(F.col("event_key"))))
+
+
+def _with_values(rows: DataFrame) -> DataFrame:
+    return (rows.withColumn("price_value", stripped(F.col("price")))
             .withColumns({
-                "event_key": canonical_uuid(F.col("event_key")),
                 "price_value": safe_double(F.col("price_value")),
                 "is_promotion": F.coalesce(F.lower("promotion").isin(*TRUE_WORDS), F.lit(False)),
                 "stock_value": F.coalesce(F.nullif("stock_status", F.lit("")), F.lit("unknown")),
                 "event_time": parse_timestamp(F.col("event_timestamp"))}))
 
 
+def pack(rows: DataFrame) -> DataFrame:
+    """Rows with their keys, without what other columns tell, for shuffles and intermediate tables: an id that is a UUID
+    as its 16 bytes in ``event_uuid``, and a raw text only where stripping changed it. ``unpack`` restores them."""
+    uuid = uuid_bytes(F.col("event_key"))
+    return rows.withColumns({
+        **{raw: F.when(~F.col(raw).eqNullSafe(F.col(key)), F.col(raw)) for raw, key in _STRIPPED.items()},
+        "event_uuid": uuid, "event_key": F.when(uuid.isNull(), F.col("event_key"))})
+
+
+def unpack(packed: DataFrame) -> DataFrame:
+    key = F.coalesce(uuid_text(F.col("event_uuid")), "event_key")
+    rows = packed.withColumns({"event_key": key, "event_id": F.coalesce("event_id", key),
+                               "barcode": F.coalesce("barcode", "barcode_key"),
+                               "store_id": F.coalesce("store_id", "store_key")}).drop("event_uuid")
+    if "failure_reason" in packed.columns:
+        rows = rows.withColumn("failures", F.coalesce(F.split("failure_reason", SEPARATOR), F.array().cast("array<string>")))
+    return rows
+
+
 def _known(keys: DataFrame, key: str, column: str, marker: str) -> DataFrame:
     return keys.select(F.col(key).alias(column), F.lit(True).alias(marker))
 
@@ -52,15 +80,22 @@ def check_rows(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
     ``products`` and ``stores`` hold each key once. ``inclusive`` accepts a price of exactly
     ``limit``.
     """
-    rows = join_lookup(typed_prices(raw), _known(products, "barcode", "barcode_key", "_product"),
+    return unpack(_check_packed(raw, products, stores, as_of, limit, inclusive, tolerance, spread))
+
+
+def _check_packed(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of, limit: float, inclusive: bool,
+                  tolerance: str, spread: Sequence[str]) -> DataFrame:
+    rows = join_lookup(pack(_with_keys(raw)), _known(products, "barcode", "barcode_key", "_product"),
                        "barcode_key", "left", spread)
     rows = join_lookup(rows, _known(stores, "store_id", "store_key", "_store"),
                        "store_key", "left", spread)
-    event, price, at = F.col("event_key"), F.col("price_value"), F.col("event_time")
+    rows = _with_values(rows)
+    uuid, other_id = F.col("event_uuid"), F.col("event_key")
+    price, at = F.col("price_value"), F.col("event_time")
     too_high = price > limit if inclusive else price >= limit
     horizon = instant(as_of) + F.expr(f"interval {tolerance}")
     own = reason_text(
-        (event.isNull(), "Missing event ID"),
+        (uuid.isNull() & other_id.isNull(), "Missing event ID"),
         (F.col("_product").isNull(), "Unknown product barcode"),
         (F.col("_store").isNull(), "Unknown store"),
         (price.isNull(), "Missing or invalid price"),
@@ -68,14 +103,14 @@ def check_rows(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
         (too_high, "Price exceeds reasonable limit"),
         (at.isNull(), "Invalid event timestamp"),
         (at > horizon, "Timestamp is in the future"),
-        (~event.rlike(UUID_SHAPE), "Event ID is not a UUID"),
+        (other_id.isNotNull(), "Event ID is not a UUID"),
         ((price > 0) & (price < 0.005), "Price rounds to zero"),
         (F.col(RAW_LINE).isNotNull(), "Fields do not match the header"),
     )
     return rows.withColumn("own_reason", own).drop("_product", "_store")
 
 
-def repeated_ids(checked: DataFrame, order: str) -> DataFrame:
+def repeated_ids(checked: DataFrame, order: str, key: str = "event_key") -> DataFrame:
     """Ids that occur more than once and were accepted once, with the place of the accepted row.
 
     An id counts as seen only after a row with it was accepted, and the first row that fails
@@ -85,17 +120,17 @@ def repeated_ids(checked: DataFrame, order: str) -> DataFrame:
     own_ok = F.col("own_reason").isNull()
     # rows without an id form one group, which the last filter removes; a filter on the id itself
     # would be pushed below the parsing and repeat it
-    return (checked.groupBy(F.coalesce("event_key", F.lit("")).alias("event_key"))
+    nothing = F.lit("").cast(dict(checked.dtypes)[key])
+    return (checked.groupBy(F.coalesce(key, nothing).alias(key))
             .agg(F.min(F.when(own_ok, F.col(order))).alias("_first"),
                  F.count(F.lit(1)).alias("_copies"))
             .filter((F.col("_copies") > 1) & F.col("_first").isNotNull()))
 
 
 def flag_repeats(checked: DataFrame, order: str = "row_pos", hot_rows: int = HOT_ROWS,
-                 spread: Sequence[str] = ("row_pos",)) -> DataFrame:
-    """Adds ``repeated``: an earlier row with this event id was accepted."""
-    found = join_counted(checked, repeated_ids(checked, order), "event_key", "_copies", spread,
-                         hot_rows)
+                 spread: Sequence[str] = ("row_pos",), key: str = "event_key") -> DataFrame:
+    """Adds ``repeated``: an earlier row with this event id was accepted. ``key`` is the column of the id."""
+    found = join_counted(checked, repeated_ids(checked, order, key), key, "_copies", spread, hot_rows)
     later = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
     return found.withColumn("repeated", later).drop("_first", "_copies")
 
@@ -108,24 +143,34 @@ def decide_prices(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
     ``stage`` may write a frame to shared storage and read it back: the checked rows feed both
     the search for repeated ids and the final join, and a written table is not computed twice.
     """
-    checked = check_rows(raw, products, stores, as_of, limit, inclusive, tolerance, (order,))
+    return unpack(decide_packed(raw, products, stores, as_of, limit, inclusive, tolerance, order, hot_rows, stage))
+
+
+def decide_packed(raw: DataFrame, products: DataFrame, stores: DataFrame, as_of,
+                  limit: float = PRICE_LIMIT, inclusive: bool = True, tolerance: str = TOLERANCE,
+                  order: str = "row_pos", hot_rows: int = HOT_ROWS, stage=None) -> DataFrame:
+    """``decide_prices`` before ``unpack``, to be written by the caller.
+
+    Ids that are no UUIDs are never accepted, so none of them repeats an accepted one: the bytes suffice as the key.
+    Values are parsed once more after the join, which costs less than moving them next to their texts.
+    """
+    checked = _check_packed(raw, products, stores, as_of, limit, inclusive, tolerance, (order,)).drop(*_VALUES)
     if stage is not None:
         checked = stage(checked)
     # a repeated id is named where a missing one would be: in front
     reason = F.nullif(F.concat_ws(SEPARATOR, F.when(F.col("repeated"), REPEATED), "own_reason"),
                       F.lit(""))
-    return (flag_repeats(checked, order, hot_rows, (order,))
+    return (_with_values(flag_repeats(checked, order, hot_rows, (order,), "event_uuid"))
             .withColumn("failure_reason", reason)
-            .withColumn("failures", F.coalesce(F.split("failure_reason", SEPARATOR),
-                                               F.array().cast("array<string>")))
             .withColumn("accepted", F.col("failure_reason").isNull())
             .drop("own_reason", "repeated"))
 
 
 def accepted_prices(decided: DataFrame, loaded_at) -> DataFrame:
-    """The accepted rows in the layout of the price table."""
+    """The accepted rows in the layout of the price table; of packed rows with their ids as bytes in ``event_uuid``."""
     return decided.filter("accepted").select(
-        F.col("event_key").alias("event_id"), F.col("barcode_key").alias("barcode"),
+        F.col("event_key").alias("event_id"), *[F.col(c) for c in ("event_uuid",) if c in decided.columns],
+        F.col("barcode_key").alias("barcode"),
         F.col("store_key").alias("store_id"), F.col("price_value").cast(MONEY).alias("price"),
         F.col("is_promotion").alias("promotion"), F.col("stock_value").alias("stock_status"),
         F.col("event_time").alias("event_timestamp"),

@@ -62,7 +62,7 @@ def join_counted(facts: DataFrame, groups: DataFrame, key: str, count: str, spre
     ``groups`` has one row per key and the number of fact rows behind it. Keys with at least
     ``hot_rows`` rows number at most ``rows / hot_rows`` whatever the data, so these are broadcast,
     and their fact rows, like those without a key, are spread by ``spread`` in the shuffle on the
-    (text) key. ``spread`` names columns that identify a fact row.
+    key, a text or binary. ``spread`` names columns that identify a fact row.
     """
     columns = [c for c in groups.columns if c != key]
     hot = groups.filter(F.col(count) >= hot_rows).select(
@@ -72,7 +72,7 @@ def join_counted(facts: DataFrame, groups: DataFrame, key: str, count: str, spre
     # a row set apart gets a key of its own; should that ever equal a real one, what it finds
     # there is ignored
     apart = F.col("_hot").isNotNull() | F.col(key).isNull()
-    own_key = F.concat(F.lit("\0"), salt(spread, 1 << 30).cast("string"))
+    own_key = F.concat(F.lit("\0"), salt(spread, 1 << 30).cast("string")).cast(dict(facts.dtypes)[key])
     joined = (facts.join(F.broadcast(hot), key, "left")
               .withColumn("_apart", apart)
               .withColumn("_key", F.when(F.col("_apart"), own_key).otherwise(F.col(key)))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfledger.operators import audit, prices, products
 from shelfledger.plans import batch
-from shelfledger.session import configure, scratch_dir, stage
+from shelfledger.session import DENSE, configure, scratch_dir, stage
 from shelfledger.sources import mapping
 from shelfledger.streaming import prices as stream
 
@@ -54,13 +54,18 @@ def decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     Left lazy, the products' filter would repeat their whole cleaning at every use.
     """
+    decided_products, packed = _decide(spark, sf_dir)
+    return decided_products, prices.unpack(packed)
+
+
+def _decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     decided_products = _once(spark, sf_dir, "products", lambda: stage(
         products.decide_products(mapping.raw_products(spark, sf_dir)), "products"))
     silver = decided_products.filter("accepted").select("product.*")
-    decided_prices = prices.decide_prices(mapping.raw_prices(spark, sf_dir), silver,
+    packed = prices.decide_packed(mapping.raw_prices(spark, sf_dir), silver,
                                           known_stores(spark, sf_dir), mapping.AS_OF,
-                                          stage=lambda df: _once(spark, sf_dir, "checked", lambda: stage(df, "checked")))
-    return decided_products, decided_prices
+                                  stage=lambda df: _once(spark, sf_dir, "checked", lambda: stage(df, "checked", codec=DENSE)))
+    return decided_products, packed
 
 
 def quarantine_of(decided_products: DataFrame, decided_prices: DataFrame) -> DataFrame:
@@ -71,8 +76,9 @@ def quarantine_of(decided_products: DataFrame, decided_prices: DataFrame) -> Dat
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
-    decided_products, lazy_prices = decide(spark, sf_dir)
-    decided_prices = stage(lazy_prices, "prices", partition_by="accepted")
+    decided_products, packed = _decide(spark, sf_dir)
+    # no report asks for the place in the file
+    decided_prices = prices.unpack(stage(packed.drop("row_pos"), "prices", partition_by="accepted", codec=DENSE))
     at = mapping.run_started(F.col(_RUN))
     silver = decided_products.filter("accepted").select(
         "product.*", at.alias("created_at"), at.alias("updated_at"))

@@ -117,3 +117,19 @@ def test_same_result_when_staged(spark, tmp_path):
         return spark.read.schema(df.schema).parquet(str(tmp_path / "checked"))
     rows = [{"event_id": uid(i % 4), "price": str(i % 3)} for i in range(20)]
     assert decide(spark, rows) == decide(spark, rows, stage=stage)
+
+
+def test_rows_travel_without_what_other_columns_tell(spark):
+    """The checked rows, which are written and then shuffled by their id, hold an id as 16 bytes and no parsed value."""
+    rows = [{"event_id": uid(1).upper()}, {"event_id": uid(2)}, {"event_id": uid(2)}, {"event_id": " x "}, {"event_id": ""},
+            {"event_id": None}, {"event_id": uid(3), "barcode": " 1", "store_id": ""}]
+    seen = []
+    got = decide(spark, rows, stage=lambda df: seen.append(df) or df)
+    packed = {r["row_pos"]: r for r in seen[0].collect()}
+    assert not {"price_value", "event_time", "source_file"} & set(seen[0].columns)
+    assert [packed[i]["event_uuid"] and bytes(packed[i]["event_uuid"]).hex()[-1] for i in range(7)] == ["1", "2", "2", None, None, None, "3"]
+    assert [packed[i]["event_id"] for i in range(7)] == [None, None, None, " x ", "", None, None]
+    assert [got[i]["event_id"] for i in range(7)] == [r["event_id"] for r in rows]
+    assert [got[i]["event_key"] for i in range(7)] == [uid(1), uid(2), uid(2), "x", None, None, uid(3)]
+    assert (got[6]["barcode"], got[6]["barcode_key"], got[6]["store_id"], got[6]["store_key"]) == (" 1", "1", "", None)
+    assert [got[i]["failure_reason"] for i in (1, 2, 3, 4)] == [None, "Duplicate event ID in source file", "Event ID is not a UUID", "Missing event ID"]
