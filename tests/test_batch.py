@@ -2,6 +2,7 @@ import json
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import keys, uid
 from shelfledger.plans import batch
@@ -285,3 +286,27 @@ def test_verdict_report(site, spark, tmp_path):
     site.run(site.products("products_1.json", tea("1"), tea("2", "")), site.prices("prices_1.csv", (1, "1", "s", 2)), 5, report=str(tmp_path / "report"))
     told = {r["barcode"]: (r["status"], bool(r["reasons"]), r["validated_at"] is not None) for r in spark.read.json(str(tmp_path / "report")).collect()}
     assert told["1"][0] == "pass" and told["2"][:2] == ("reject", True) and all(t[2] for t in told.values())
+
+
+def test_ids_are_dealt_by_their_bytes_in_the_order_of_their_texts(spark):
+    rows = spark.range(200).selectExpr(
+        "concat('abcdef01-0000-0000-0000-', lpad(hex(id * 7919 % 4096), 12, '0')) AS event_id", "'1' AS barcode", "'s' AS store_id",
+        "cast(1 AS decimal(10,2)) AS price", "false AS promotion", "'x' AS stock_status",
+        "timestamp'2025-01-01' AS event_timestamp", "timestamp'2025-01-01' AS loaded_at").withColumn("event_id", F.lower("event_id"))
+    rows = rows.unionByName(rows.limit(1).withColumn("event_id", F.lit("no uuid")))
+    dealt = batch.price_layout(rows)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    exchange = plan[plan.index("RepartitionByExpression"):].splitlines()[0]
+    assert "event_uuid" in exchange and "event_month" not in exchange
+    assert sorted(r["event_id"] for r in dealt.collect()) == sorted(r["event_id"] for r in rows.collect())
+    assert dealt.columns == [*rows.columns, "event_month"]
+
+
+def test_a_first_load_is_not_compared_with_an_empty_table(site, spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(batch.keyed, "insert_absent", lambda *a, f=batch.keyed.insert_absent, **b: asked.append(1) or f(*a, **b))
+    products = site.products("products_1.json", tea("1"))
+    site.run(products, site.prices("prices_1.csv", (1, "1", "s", 2)), 5)
+    assert not asked and site.price_ids() == [1]
+    assert site.run(products, site.prices("prices_2.csv", (1, "1", "s", 2), (2, "1", "s", 2)), 6).already_loaded == 1
+    assert asked and site.price_ids() == [1, 2]
