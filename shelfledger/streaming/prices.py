@@ -9,7 +9,7 @@ writes is its row of progress; input = valid + invalid + late + duplicate holds
 Layout below ``out``::
 
     decided/batch_id=N/outcome=valid|invalid|late|duplicate/   Parquet, every event; ``copies`` tells how many rows it stands for
-    quarantine/batch_id=N/      JSON lines, the invalid and late events with their error
+    quarantine/batch_id=N/      JSON lines, compressed, the invalid and late events with their error
     ids/                        event ids by levels, with a table of bits for each part
     latest/                     latest price per key by levels
     progress/batch_id=N/        what came in, what became of it, and the newest event time so far
@@ -220,7 +220,7 @@ def _batch_writer(out: str, stores: Stores, dedup: str = "global", delay: str =
         (checked.unionByName(aside).withColumn("outcome", verdict).write.mode("overwrite").partitionBy("outcome").parquet(here))
         written = _decided(spark, here)
         (written.filter("outcome IN ('invalid', 'late')").select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*_EVENT, "validation_error")
-         .write.mode("overwrite").option("timestampFormat", JSON_TIME).json(f"{out}/quarantine/batch_id={batch_id}"))
+         .write.mode("overwrite").option("timestampFormat", JSON_TIME).option("compression", "gzip").json(f"{out}/quarantine/batch_id={batch_id}"))
         ids.append(batch_id, written.filter("outcome IN ('valid', 'invalid') AND event_id IS NOT NULL"))
         latest_table(spark, out, fanout, buckets).append(batch_id, latest_of(written.filter("outcome = 'valid'")))
         counts = {r["outcome"]: r["n"] for r in written.groupBy("outcome").agg(F.sum("copies").alias("n")).collect()}

@@ -255,3 +255,16 @@ def test_continuous_run(spark, feed):
     finally:
         query.stop()
     assert feed.valid() == ["e1", "e3"] and feed.invalid() == [("e2", "invalid price")]
+
+
+def test_quarantine_is_written_compressed(spark, tmp_path):
+    lines = [{"event_id": "1", "barcode": "1", "store_id": "x", "price": 1.0, "currency": "EUR", "promotion": False,
+              "stock_status": "in_stock", "event_time": "2025-01-01T00:00:00Z"}]
+    source = tmp_path / "incoming"
+    source.mkdir()
+    (source / "a.json").write_text("\n".join(json.dumps(line) for line in lines))
+    queries = stream.start_price_stream(spark, str(source), str(tmp_path / "out"), str(tmp_path / "checkpoint"), ["s"], once=True)
+    stream.supervise(spark, queries, once=True)
+    files = [p.name for p in (tmp_path / "out" / "quarantine").rglob("part-*")]
+    assert files and all(name.endswith(".json.gz") for name in files)
+    assert [r["validation_error"] for r in stream.invalid_events(spark, str(tmp_path / "out")).collect()] == ["unknown store"]
