@@ -38,15 +38,39 @@ _SIMPLE = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: Where a blank changes nothing: the vocabulary parts letters and digits from the marks after them.
 _BEFORE_MARK = re.compile(rb"([A-Za-z0-9])(?=[!-/:-@\[-`{-~])")
 _SPACE = re.compile(rb"[\t-\r ]")
+#: What keeps a text in its own case: letters outside Latin-1, signs of its first half, strings of special tokens. Without
+#: these no letter is composed with what follows, and each capital becomes one small letter, byte by byte.
+_OWN_CASE = re.compile(rb"[\xc0-\xc2\xc4-\xff]|<\|")
+_SMALL = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9e and b != 0x97 else b for b in range(256))
 
 
-class _Words:
-    """Ids of a word as little-endian bytes; the vocabulary never merges over ASCII white space."""
+class _Known(dict):
+    """Ids of a word as little-endian bytes, found when it is first asked for."""
 
     def __init__(self, path: str):
-        self.known: dict[bytes, bytes] = {}
+        super().__init__()
         self.size = 0
         self.model, self.letters = tokenizer(path), byte_letters()
+        self.merges = self.model.model
+
+    def __missing__(self, word: bytes) -> bytes:
+        small = word.lower()  # ASCII only, which comes to the same where all other letters are small and composed
+        if _SIMPLE.fullmatch(small):
+            plain = small.decode() if small.isascii() else small.decode("latin-1").translate(self.letters)
+            found = [t.id for t in self.merges.tokenize(plain)]
+        else:
+            # in its own case: special strings are matched, and letters composed, before capitals become small
+            found = self.model.encode(word.decode(), add_special_tokens=False).ids
+        ids = self[word] = array("I", found).tobytes()
+        self.size += len(word) + len(ids) + 150
+        return ids
+
+
+class _Words:
+    """Ids of a text as little-endian bytes; the vocabulary never merges over ASCII white space."""
+
+    def __init__(self, path: str):
+        self.known = _Known(path)
 
     def of(self, text: bytes) -> bytes:
         """The ids of a text, a run of whole words at a time."""
@@ -59,26 +83,14 @@ class _Words:
         return parts[0] if len(parts) == 1 else b"".join(parts)
 
     def _run(self, text: bytes) -> bytes:
-        # a special token's string must stay in one word
-        words = text.split() if b"<|" in text else _BEFORE_MARK.sub(rb"\1 ", text).split()
         known = self.known
-        if self.size > REMEMBERED:
+        if known.size > REMEMBERED:
             known.clear()
-            self.size = 0
-        missing = set(words).difference(known)
-        if missing:
-            merges, letters, other = self.model.model, self.letters, []
-            for word in missing:
-                small = word.lower()  # ASCII only, which comes to the same where all other letters are small and composed
-                if _SIMPLE.fullmatch(small):
-                    found = [t.id for t in merges.tokenize(small.decode("latin-1").translate(letters))]
-                    known[word] = array("I", found).tobytes()
-                else:
-                    other.append(word)
-            # in their own case: special strings are matched, and letters composed, before capitals become small
-            encoded = self.model.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-            known.update(zip(other, (array("I", e.ids).tobytes() for e in encoded)))
-            self.size += sum(len(w) + len(known[w]) + 150 for w in missing)
+            known.size = 0
+        if not _OWN_CASE.search(text):
+            text = text.translate(_SMALL)
+        # a special token's string must stay in one word
+        words = text.split() if b"<|" in text else _BEFORE_MARK.sub(rb"\1 ", text).split()
         return b"".join(map(known.__getitem__, words))
 
 

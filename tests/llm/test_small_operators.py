@@ -80,6 +80,18 @@ def test_packing_covers_every_id_once(docs, empty, texts):
     assert packing.pack(empty, path, 2).count() == 0
 
 
+def test_a_word_is_encoded_once_whatever_its_case():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, model = packing._Words(path), Tokenizer.from_file(path)
+    text = "Stra\u00dfe STRA\u00dfE stra\u00dfe, \u00c9t\u00e9 \u00e9t\u00e9 \u00c9T\u00c9"
+    own_case = ["T\u0308 t\u0308", "<|ENDOFTEXT|> <|endoftext|>", "\u0130 \u00b0C \u212a", "3\u00d74 \u00f7 \u00de"]
+    for t in (text, *own_case):
+        assert np.frombuffer(words.of(t.encode()), "<u4").tolist() == model.encode(t, add_special_tokens=False).ids
+    alone = packing._Words(path)
+    alone.of(text.encode())
+    assert len(alone.known) == 3
+
+
 def test_histogram_packing_places_all_and_wastes_little():
     rng = np.random.default_rng(0)
     histogram = dict(Counter(rng.integers(1, 4097, 5000).tolist()) | Counter(rng.integers(1, 300, 9000).tolist()))
