@@ -119,6 +119,34 @@ def test_same_result_when_staged(spark, tmp_path):
     assert decide(spark, rows) == decide(spark, rows, stage=stage)
 
 
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_few_repeated_ids_leave_the_rows_where_they_are(spark, tmp_path, limit):
+    """Ids are counted alone; only where many repeat are the price rows shuffled, and then what comes out is written once."""
+    names = []
+
+    def stage(df, name="checked"):
+        names.append(name)
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    pick = random.Random(3)
+    rows = [{"event_id": pick.choice([uid(1), None, "x", uid(pick.randint(2, 200))]), "price": pick.choice(["2", "-1"]),
+             "event_timestamp": pick.choice(["2025-01-01", "20250101", "bad", None])} for _ in range(300)]
+    args = (keys(spark, "barcode", "1"), keys(spark, "store_id", "s"), AS_OF)
+    plain = prices.decide_packed(price_rows(spark, rows), *args)
+    expected = [r.asDict(True) for r in plain.orderBy("row_pos").collect()]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = prices.decide_packed(price_rows(spark, rows), *args, stage=stage, stage_ids=stage, stage_wide=lambda df: stage(df, "wide"))
+        shown = got._jdf.queryExecution().executedPlan().toString()
+        assert got.columns == plain.columns and [r.asDict(True) for r in got.orderBy("row_pos").collect()] == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert names == (["checked", "several", "repeated"] if limit != "-1" else ["checked", "several", "wide"])
+    assert "hashpartitioning" not in shown
+    assert sum("Duplicate" in (r["failure_reason"] or "") for r in expected) > 5
+
+
 def test_rows_travel_without_what_other_columns_tell(spark):
     """The checked rows, which are written and then shuffled by their id, hold an id as 16 bytes and no parsed value."""
     rows = [{"event_id": uid(1).upper()}, {"event_id": uid(2)}, {"event_id": uid(2)}, {"event_id": " x "}, {"event_id": ""},
