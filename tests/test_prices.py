@@ -119,10 +119,12 @@ def test_same_result_when_staged(spark, tmp_path):
     assert decide(spark, rows) == decide(spark, rows, stage=stage)
 
 
-@pytest.mark.parametrize("limit", ["10MB", "-1"])
-def test_few_repeated_ids_leave_the_rows_where_they_are(spark, tmp_path, limit):
+@pytest.mark.parametrize("limit, counted, written", [("10MB", 300, ["checked", "several", "repeated"]),
+                                                     ("-1", 300, ["checked", "several", "wide"]), ("10MB", 0, ["checked", "wide"])])
+def test_few_repeated_ids_leave_the_rows_where_they_are(spark, tmp_path, monkeypatch, limit, counted, written):
     """Ids are counted alone; only where many repeat are the price rows shuffled, and then what comes out is written once."""
     names = []
+    monkeypatch.setattr(prices, "COUNTED", counted)
 
     def stage(df, name="checked"):
         names.append(name)
@@ -142,7 +144,7 @@ def test_few_repeated_ids_leave_the_rows_where_they_are(spark, tmp_path, limit):
         assert got.columns == plain.columns and [r.asDict(True) for r in got.orderBy("row_pos").collect()] == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert names == (["checked", "several", "repeated"] if limit != "-1" else ["checked", "several", "wide"])
+    assert names == written
     assert "hashpartitioning" not in shown
     assert sum("Duplicate" in (r["failure_reason"] or "") for r in expected) > 5
 
