@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import sys
@@ -56,21 +57,49 @@ def release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def kept_in_worker(key: str, build: Callable):
-    """A value that a Python worker builds once and keeps for its later tasks. A worker serves many stages; a value
-    that none of the last two stages asked for is let go."""
-    task = TaskContext.get()
-    now = task.stageId() if task else -1
+def _forget(now: int) -> None:
+    """Let go what this worker kept for stages before the last two."""
     store = sys.__dict__.setdefault("_llm_kept", {})
     if store.get("stage") != now:
         for old in [k for k, v in store.items() if k != "stage" and v[1] not in (store["stage"], now)]:
             del store[old]
         store["stage"] = now
+
+
+def kept_in_worker(key: str, build: Callable):
+    """A value that a Python worker builds once and keeps for its later tasks. A worker serves many stages; a value
+    that none of the last two stages asked for is let go."""
+    task = TaskContext.get()
+    now = task.stageId() if task else -1
+    _forget(now)
+    store = sys.__dict__["_llm_kept"]
     value = store[key][0] if key in store else build()
     store[key] = value, now
     return value
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system: the allocators of Arrow and of C keep it for themselves otherwise,
+    and the workers of an executor, idle ones too, add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def frugal(function: Callable) -> Callable:
+    """The function for ``mapInArrow``; at the end of a task its worker lets go what later tasks don't need."""
+    @wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            task = TaskContext.get()
+            _forget(task.stageId() if task else -1)
+            give_back()
+    return run
+
+
 def tokenizer(path: str):
     """A tokenizer of the ``tokenizers`` library, on one thread."""
     def load():

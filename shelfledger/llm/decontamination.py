@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import LOWER, PUNCTUATION, run_hashes, text_slices, word_bounds
+from shelfledger.llm.common import LOWER, PUNCTUATION, frugal, run_hashes, text_slices, word_bounds
 from shelfledger.session import stage
 
 WINDOW = 8
@@ -173,7 +173,7 @@ def _small_words(batches):
 
 def _with_fixed(items: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The windows of items with ``fixed``: of each placeholder, whether it stands for its own word alone."""
-    small = benchmark.mapInArrow(_small_words, "word long").distinct()
+    small = benchmark.mapInArrow(frugal(_small_words), "word long").distinct()
     rows = items.withColumn("row", F.monotonically_increasing_id())
     slots = rows.filter(F.exists("opening", lambda x: x)).select("row", F.posexplode(F.arrays_zip("item_slots", "opening")).alias("place", "slot"))
     told = slots.select("row", "place", F.col("slot.item_slots").alias("word"), F.col("slot.opening").alias("opening")).join(
@@ -200,7 +200,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
     spark = docs.sparkSession
     named = lambda df, name: df.select(
         F.col(name).cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    cut = stage(named(benchmark, "item_id").mapInArrow(_item_windows, _ROWS).select(
+    cut = stage(named(benchmark, "item_id").mapInArrow(frugal(_item_windows), _ROWS).select(
         F.col("id").alias("item_id"), "window", "reading", F.col("at").alias("item_at"), F.col("words").alias("item_words"),
         F.col("slots").alias("item_slots"), "opening"), "benchmark")
     items = stage(_with_fixed(cut, benchmark.select("text")), "benchmark")
@@ -217,7 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
             wanted = np.unique(own.select("window").distinct().toArrow().column(0).to_numpy().view(np.uint64))  # about BLOCK at most
             if not len(wanted):
                 continue
-            seen = named(docs, id_col).mapInArrow(_wanted_windows(wanted, asked), _ROWS).drop("reading", "opening")
+            seen = named(docs, id_col).mapInArrow(frugal(_wanted_windows(wanted, asked)), _ROWS).drop("reading", "opening")
             met = seen.join(F.broadcast(own) if few else own, "window").filter(~F.exists(
                 F.arrays_zip("fixed", "item_slots", "slots"), lambda p: p["fixed"] & (p["item_slots"] != p["slots"])))
             found = met if found is None else found.unionByName(met)

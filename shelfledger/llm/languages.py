@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import LOWER, PUNCTUATION, SPACE, fold, ragged, text_slices, word_bounds
+from shelfledger.llm.common import LOWER, PUNCTUATION, SPACE, fold, frugal, ragged, text_slices, word_bounds
 
 BUCKETS = 1 << 18
 #: Labelled documents per language, about, that the trigram tables are fitted on.
@@ -85,7 +85,7 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Model | None:
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, fit_docs / n))).otherwise(share)
     chosen = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
-    counts = chosen.mapInArrow(_count_grams, "lang string, bucket long, n long").groupBy(
+    counts = chosen.mapInArrow(frugal(_count_grams), "lang string, bucket long, n long").groupBy(
         "lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(sizes)
     table = np.full((len(languages), BUCKETS), 0.5)
@@ -192,7 +192,7 @@ def identify(docs: DataFrame, model: Model | None, *more: str) -> DataFrame:
                            F.array().cast(mixture).alias("mixture"))
     schema = StructType([*rows.select(*columns).schema.fields, StructField("lang_pred", StringType()),
                          StructField("score", DoubleType()), StructField("mixture", mixture)])
-    return rows.mapInArrow(_predict(model, columns), schema)
+    return rows.mapInArrow(frugal(_predict(model, columns)), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds, word_hashes
+from shelfledger.llm.common import frugal, mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds, word_hashes
 from shelfledger.llm.components import components
 from shelfledger.operators.skew import join_counted
 from shelfledger.session import stage
@@ -165,7 +165,7 @@ def verify(rows: DataFrame, texts: DataFrame, pairs: DataFrame, least: float = S
     both = keyed.join(_once(rows, keyed), KEY).groupBy("a", "b").agg(
         F.max(F.when(F.col("node") == F.col("a"), F.col("text"))).alias("a_text"),
         F.max(F.when(F.col("node") == F.col("b"), F.col("text"))).alias("b_text"))
-    return both.mapInArrow(_compare, "a long, b long, similarity double").filter(F.col("similarity") >= least)
+    return both.mapInArrow(frugal(_compare), "a long, b long, similarity double").filter(F.col("similarity") >= least)
 
 
 def _meetings(buckets: DataFrame, once: bool = False) -> DataFrame:
@@ -361,7 +361,7 @@ def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.unhex(F.md5("text")))
     sketched = stage(rows.select("doc_id", "text_key", "text").mapInArrow(
-        _sketch_rows, "doc_id long, text_key binary, bands array<long>, bytes long"), "sketches")
+        frugal(_sketch_rows), "doc_id long, text_key binary, bands array<long>, bytes long"), "sketches")
     # a text is a node of the graph, whatever ids its rows have; the number is fixed by writing it
     texts = stage(sketched.groupBy("text_key").agg(
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")).withColumns(

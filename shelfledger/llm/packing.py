@@ -21,7 +21,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import byte_letters, kept_in_worker, texts, tokenizer
+from shelfledger.llm.common import byte_letters, frugal, kept_in_worker, texts, tokenizer
 from shelfledger.session import stage
 
 LENGTH = 4096
@@ -120,7 +120,7 @@ def _pieces(path: str, end_id: int, length: int):
 def token_pieces(docs: DataFrame, path: str, end_id: int, length: int = LENGTH) -> DataFrame:
     """A row per piece of at most ``length`` ids; ``row`` tells rows with the same id apart."""
     rows = texts(docs).withColumn("row", F.monotonically_increasing_id())
-    return rows.mapInArrow(_pieces(path, end_id, length), PIECES)
+    return rows.mapInArrow(frugal(_pieces(path, end_id, length)), PIECES)
 
 
 @dataclass(frozen=True)
@@ -241,7 +241,7 @@ def pack(docs: DataFrame, path: str, end_id: int, length: int = LENGTH) -> DataF
             [], "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return ranked(pieces, histogram).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInArrow(
-        _place(intervals), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+        frugal(_place(intervals)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long")
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import run_hashes, text_slices, word_bounds, word_hashes
+from shelfledger.llm.common import frugal, run_hashes, text_slices, word_bounds, word_hashes
 from shelfledger.session import stage
 
 WINDOW = 35
@@ -212,7 +212,7 @@ def repeats(docs: DataFrame, scale: int | None = None) -> DataFrame:
     place and a bit for each of the windows from there that repeats. ``docs`` has id, key and text."""
     n = scale or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     filed = stage(docs.mapInArrow(
-        _file, "minimiser long, segment long, id long, key long, at int, windows int"), "windows")
+        frugal(_file), "minimiser long, segment long, id long, key long, at int, windows int"), "windows")
     kinds = filed.groupBy("minimiser").agg(
         F.count("*").alias("n"), F.min("segment").alias("lo"), F.max("segment").alias("hi")).filter("n > 1")
     several = stage(filed.join(kinds, "minimiser").withColumn("uniform", F.expr("lo = hi")).drop("n", "lo", "hi"),
@@ -227,10 +227,10 @@ def repeats(docs: DataFrame, scale: int | None = None) -> DataFrame:
     wanted = marked.groupBy("id", "key").agg(F.collect_list(
         F.struct("minimiser", "segment", "n", "at", "windows", "crowded")).alias("wanted"))
     parts = stage(docs.join(wanted, ["id", "key"]).dropDuplicates(["id", "key"]).select("text", "wanted").mapInArrow(
-        _cut(), "minimiser long, segment long, n long, words binary, bit int, window long"), "reference")
+        frugal(_cut()), "minimiser long, segment long, n long, words binary, bit int, window long"), "reference")
     shards = parts.filter("words IS NOT NULL").select("minimiser", "segment", "n", "words")
     matched = shards.repartition(n, "minimiser").sortWithinPartitions("minimiser").mapInArrow(
-        _match, "minimiser long, segment long, mask int")
+        frugal(_match), "minimiser long, segment long, mask int")
     windows = parts.filter("words IS NULL").select("minimiser", "segment", "n", "bit", "window")
     twice = windows.groupBy("minimiser", "window").agg(F.sum("n").alias("times")).filter("times > 1")
     counted = windows.join(twice, ["minimiser", "window"]).groupBy("minimiser", "segment").agg(
@@ -284,7 +284,7 @@ def remove_repeats(docs: DataFrame, *more: str) -> DataFrame:
     found = repeats(named.select("id", "key", F.coalesce("text", F.lit("")).alias("text")))
     out = named.join(found, ["id", "key"], "left").select(*dict.fromkeys(["text", *columns]), "runs")
     schema = out.select(*columns).schema.add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
-    return out.mapInArrow(_remove(columns), schema)
+    return out.mapInArrow(frugal(_remove(columns)), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
