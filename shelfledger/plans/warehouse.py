@@ -62,9 +62,20 @@ def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return _once(spark, sf_dir, "packed", lambda: _decide(spark, sf_dir))
 
 
-def _decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    decided_products = _once(spark, sf_dir, "products", lambda: stage(
+def _decided_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "products", lambda: stage(
         products.decide_products(mapping.raw_products(spark, sf_dir)), "products"))
+
+
+def known_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product table alone; no price row is read for it."""
+    at = mapping.run_started(F.col(_RUN))
+    return _decided_products(spark, sf_dir).filter("accepted").select(
+        "product.*", at.alias("created_at"), at.alias("updated_at"))
+
+
+def _decide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    decided_products = _decided_products(spark, sf_dir)
     silver = decided_products.filter("accepted").select("product.*")
 
     def once(df: DataFrame, name: str) -> DataFrame:
@@ -88,11 +99,9 @@ def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
     # no report asks for the place in the file
     decided_prices = prices.unpack(stage(packed.drop("row_pos"), "prices", partition_by="accepted", codec=DENSE))
     at = mapping.run_started(F.col(_RUN))
-    silver = decided_products.filter("accepted").select(
-        "product.*", at.alias("created_at"), at.alias("updated_at"))
     totals = audit.run_totals(audit.reconcile(decided_products, decided_prices, _RUN))
     return Warehouse(
-        decided_products, decided_prices, silver, known_stores(spark, sf_dir),
+        decided_products, decided_prices, known_products(spark, sf_dir), known_stores(spark, sf_dir),
         prices.accepted_prices(decided_prices, at),
         quarantine_of(decided_products, decided_prices),
         stage(mapping.runs(totals), "runs"))

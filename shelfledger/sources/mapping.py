@@ -17,6 +17,8 @@ AS_OF = "2026-01-01T00:00:00Z"
 STREAM_LIMIT = 200
 FILE_BYTES = 128 * 1024 * 1024
 FILES_PER_CORE = 8
+#: Bytes of events for each file from which on every core writes one of a slice.
+EVENT_BYTES = 2 * 1024 * 1024
 #: Bytes of a table for each core below which its scan may have fewer tasks than there are cores.
 SPREAD_BYTES = 32 * 1024 * 1024
 STREAM_STORES = ("view", "click", "signup", "purchase")
@@ -58,7 +60,7 @@ def _run_id(year: Column, half: Column) -> Column:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = load(spark, sf_dir, "part")
+    part = spread(load(spark, sf_dir, "part"), "p_partkey")
     key = F.col("p_partkey")
     code = key.cast("string")
     energy = F.when(key % 10 != 3, (F.col("p_size") * 10).cast("string"))
@@ -257,7 +259,7 @@ def write_event_files(spark: SparkSession, sf_dir: str, directory: str, slices:
     size = planner_bytes(events)
     cores = spark.sparkContext.defaultParallelism
     slices = max(slices, -(-size // (FILES_PER_CORE * cores * FILE_BYTES)))
-    files = -(-size // (slices * FILE_BYTES))
+    files = max(-(-size // (slices * FILE_BYTES)), min(cores, size // (slices * EVENT_BYTES)))
     low, high = events.agg(F.min("_id"), F.max("_id")).first()
     step = (high - low) // slices + 1
     parts = [events.filter(F.col("_id").between(low + i * step, low + (i + 1) * step - 1)) for i in range(slices)]

@@ -219,3 +219,22 @@ def test_build_gold_counts_while_writing(spark, tmp_path):
     frames = {"a": spark.range(7).toDF("x"), "b": spark.range(0).toDF("x")}
     counts = gold.build_gold(frames, lambda name, df: df.write.parquet(str(tmp_path / name)))
     assert counts == {"a": 7, "b": 0}
+
+
+def test_streamed_reports_read_no_price_rows(spark, monkeypatch):
+    from shelfledger.plans import registry, warehouse
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(warehouse, "_built", {})
+    monkeypatch.setattr(warehouse.prices, "decide_packed", lambda *a, **k: pytest.fail("price rows are decided"))
+    for name in ("streamed_price_by_product", "cross_tier_sql", "missing_nutrition"):
+        assert registry.queries()[name](spark, sf).count() > 0
+
+
+def test_every_core_writes_and_decides_a_share(spark, tmp_path, monkeypatch):
+    from shelfledger.sources import mapping
+    sf, cores = "/root/testdata/sf0.001", spark.sparkContext.defaultParallelism
+    assert mapping.raw_products(spark, sf).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(mapping, "EVENT_BYTES", 1024)
+    files = mapping.write_event_files(spark, sf, str(tmp_path / "events"))
+    assert files > 1
+    assert len(list((tmp_path / "events").glob("*.json"))) == 5 * files
