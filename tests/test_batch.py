@@ -310,3 +310,14 @@ def test_a_first_load_is_not_compared_with_an_empty_table(site, spark, monkeypat
     assert not asked and site.price_ids() == [1]
     assert site.run(products, site.prices("prices_2.csv", (1, "1", "s", 2), (2, "1", "s", 2)), 6).already_loaded == 1
     assert asked and site.price_ids() == [1, 2]
+
+
+def test_places_become_numbers_in_the_same_order(spark):
+    task = 1 << 33
+    places = [("b.csv", 0, 0), ("b.csv", 0, 1), ("a.csv", 0, 2 * task), ("a.csv", 0, 2 * task + 7), ("a.csv", 128, task + 3),
+              ("a.csv", 0, 5 * task), ("c.csv", 0, 2 * task + 8)]  # two files named a.csv, one task with two files
+    rows = spark.createDataFrame([(p, "x") for p in places], "row_pos struct<file:string,block:long,row:long>, v string")
+    both = batch.numbered(rows.withColumn("place", F.col("row_pos")))
+    assert dict(both.dtypes)["row_pos"] == "bigint"
+    assert [tuple(r["place"]) for r in both.orderBy("row_pos").collect()] == sorted(places)
+    assert both.select("row_pos").distinct().count() == len(places)
