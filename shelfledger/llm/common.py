@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfledger.session import configure, remove, scratch_dir, stage
 
 #: Bytes of text that one numpy pass handles; it bounds a worker's memory. A longer text is a pass of its own.
-SLICE = 1 << 20
+SLICE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_2 = 0xC2B2AE3D27D4EB4F
 
@@ -51,6 +51,11 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
     return spark.read.schema(df.schema).parquet(path), lambda: remove(spark, path)
 
 
+def tasks_of(df: DataFrame) -> int:
+    """As many tasks as read a staged frame, and two for each core at least: for tables of numbers that are derived from it."""
+    return max(df.rdd.getNumPartitions(), 2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def release(spark) -> None:
     """Let Spark drop the shuffle files of steps whose results are written: it does so once their plans are collected."""
     gc.collect()
@@ -179,7 +184,7 @@ class _Powers:
         up[0] = down[0] = 1
         np.cumprod(up, out=up)
         np.cumprod(down, out=down)
-        if size <= 8 * SLICE:  # those of one very long text are not kept
+        if size <= 16 * SLICE:  # those of one very long text are not kept
             self.up, self.down = up, down
         return up, down
 

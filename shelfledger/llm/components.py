@@ -30,14 +30,15 @@ def _settled(edges: DataFrame) -> bool:
         "out > 1 OR (out = 1 AND into = 1)").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """(node, component) of all nodes on the edges (u, v); a component is named by its least node.
 
-    Each round is written to the shared folder; there are about as many as the logarithm of the longest chain.
+    Each round is written to the shared folder, by at most ``tasks`` tasks; there are about as many rounds as the
+    logarithm of the longest chain.
     """
     now = stage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                .filter("u != v").distinct(), "edges")
+                .filter("u != v").distinct(), "edges", tasks=tasks)
     while not _settled(now):
-        now = stage(_star(_star(now, True), False), "edges")
+        now = stage(_star(_star(now, True), False), "edges", tasks=tasks)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

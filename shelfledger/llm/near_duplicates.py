@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import frugal, mix, powers, ragged, run_hashes, text_bytes, text_slices, word_bounds, word_hashes
+from shelfledger.llm.common import frugal, mix, powers, ragged, run_hashes, tasks_of, text_bytes, text_slices, word_bounds, word_hashes
 from shelfledger.llm.components import components
 from shelfledger.operators.skew import join_counted
 from shelfledger.session import stage
@@ -155,13 +155,14 @@ def _once(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return _sieved(rows.select(*KEY, "text"), wanted).groupBy(*KEY).agg(F.max("text").alias("text"))
 
 
-def verify(rows: DataFrame, texts: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def verify(rows: DataFrame, texts: DataFrame, pairs: DataFrame, least: float = SIMILARITY,
+           tasks: int | None = None) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are at least so similar, with their similarity.
 
-    ``texts`` names the row (KEY) that stands for a node."""
+    ``texts`` names the row (KEY) that stands for a node; ``tasks`` is the most tasks that write what is needed."""
     needs = pairs.select(F.col("a").alias("node"), "a", "b").unionByName(
         pairs.select(F.col("b").alias("node"), "a", "b"))
-    keyed = stage(needs.join(texts.select("node", *KEY), "node"), "needs")
+    keyed = stage(needs.join(texts.select("node", *KEY), "node"), "needs", tasks=tasks)
     both = keyed.join(_once(rows, keyed), KEY).groupBy("a", "b").agg(
         F.max(F.when(F.col("node") == F.col("a"), F.col("text"))).alias("a_text"),
         F.max(F.when(F.col("node") == F.col("b"), F.col("text"))).alias("b_text"))
@@ -325,30 +326,32 @@ def _compare_blocks(least: float):
     return compare
 
 
-def _links_of_many(rows: DataFrame, inside: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def _links_of_many(rows: DataFrame, inside: DataFrame, texts: DataFrame, least: float = SIMILARITY,
+                   most: int | None = None) -> DataFrame:
     """Links (a, b, a_class, b_class, similarity) between different classes of these buckets, enough to connect
     all classes that links connect.
 
     The texts of a bucket are dealt into blocks and every pair of blocks is a task, so the size of a
-    bucket decides how many tasks there are and not how large one is; no row is made per pair.
+    bucket decides how many tasks there are and not how large one is; no row is made per pair. ``most`` is the most
+    tasks that write a table of numbers.
     """
-    dealt, groups = (stage(x, "blocks") for x in _groups_of_blocks(inside))
-    tasks = stage(_tasks(groups), "tasks")
+    dealt, groups = (stage(x, "blocks", tasks=most) for x in _groups_of_blocks(inside))
+    tasks = stage(_tasks(groups), "tasks", tasks=most)
     sides = [tasks.select("task", "band", f"{x}.own", f"{x}.kind", F.col(f"{x}_block").alias("block"), F.lit(k).alias("side"))
              for k, x in ((0, "a"), (1, "b"))]
     alone = F.expr("a = b AND a_block = b_block")
     sides[1] = sides[1].join(tasks.filter(alone).select("task"), "task", "left_anti")
     needs = sides[0].unionByName(sides[1]).join(dealt, ["band", "own", "kind", "block"]).select(
         "task", "band", "side", "node", "component")
-    keyed = stage(texts.join(dealt.select("node").distinct(), "node").select("node", *KEY, "bands"), "needs")
+    keyed = stage(texts.join(dealt.select("node").distinct(), "node").select("node", *KEY, "bands"), "needs", tasks=most)
     with_bands = _once(rows, keyed).join(keyed, KEY).select("node", "text", "bands")
     return needs.join(with_bands, "node").groupBy("task").applyInArrow(
         _compare_blocks(least), "a long, b long, a_class long, b_class long, similarity double")
 
 
-def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(found: DataFrame, links: DataFrame, tasks: int | None = None) -> DataFrame:
     """The classes after further links (a, b, a_class, b_class): only the classes they join are closed anew."""
-    joined = components(links.select(F.col("a_class").alias("u"), F.col("b_class").alias("v"))).toDF("component", "new")
+    joined = components(links.select(F.col("a_class").alias("u"), F.col("b_class").alias("v")), tasks).toDF("component", "new")
     alone = joined.select(F.col("component").alias("node"), "component").join(
         found.select(F.col("component")).distinct(), "component", "left_anti")
     every = found.unionByName(alone.select("node", "component"))
@@ -362,33 +365,35 @@ def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("text_key", F.unhex(F.md5("text")))
     sketched = stage(rows.select("doc_id", "text_key", "text").mapInArrow(
         frugal(_sketch_rows), "doc_id long, text_key binary, bands array<long>, bytes long"), "sketches")
+    # what follows holds no texts: few tasks write it, whatever the number of shuffle partitions
+    few = tasks_of(sketched)
     # a text is a node of the graph, whatever ids its rows have; the number is fixed by writing it
     texts = stage(sketched.groupBy("text_key").agg(
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")).withColumns(
-        {"id": F.coalesce("doc_id", F.lit(NO_ID)), "node": F.monotonically_increasing_id()}), "texts")
+        {"id": F.coalesce("doc_id", F.lit(NO_ID)), "node": F.monotonically_increasing_id()}), "texts", tasks=few)
     banded = texts.select("node", "bytes", F.explode(F.array_distinct("bands")).alias("band"))
     crowded = banded.groupBy("band").count().filter("count > 1").select("band")
-    buckets = stage(banded.join(crowded, "band"), "buckets")
+    buckets = stage(banded.join(crowded, "band"), "buckets", tasks=few)
     place = lambda salt: F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node")
-    tested = stage(_meetings(buckets.withColumn("place", place(0)), once=True), "pairs")
-    links = stage(verify(rows, texts, tested), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    found = stage(components(links), "classes")
-    inside = stage(_open(buckets, found), "buckets")
+    tested = stage(_meetings(buckets.withColumn("place", place(0)), once=True), "pairs", tasks=few)
+    links = stage(verify(rows, texts, tested, tasks=few), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = stage(components(links, few), "classes", tasks=few)
+    inside = stage(_open(buckets, found), "buckets", tasks=few)
     apart = _pairs_of_few(inside.filter(F.col("n") <= FEW)).join(found.toDF("a", "a_class"), "a", "left").join(
         found.toDF("b", "b_class"), "b", "left").withColumns(
         {"a_class": F.coalesce("a_class", "a"), "b_class": F.coalesce("b_class", "b")}).filter("a_class != b_class")
-    apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-    new = stage(verify(rows, texts, apart.select("a", "b")).join(apart, ["a", "b"]), "links")
+    apart = stage(apart.distinct().join(tested, ["a", "b"], "left_anti"), "pairs", tasks=few)
+    new = stage(verify(rows, texts, apart.select("a", "b"), tasks=few).join(apart, ["a", "b"]), "links")
     if not new.isEmpty():
-        found = stage(_merged(found, new), "classes")
+        found = stage(_merged(found, new, few), "classes", tasks=few)
     # what buckets of more texts still hold of several classes
-    inside = stage(_open(inside.filter(F.col("n") > FEW).select("node", "bytes", "band"), found), "buckets")
+    inside = stage(_open(inside.filter(F.col("n") > FEW).select("node", "bytes", "band"), found), "buckets", tasks=few)
     if not inside.isEmpty():
-        left = stage(_links_of_many(rows, inside, texts), "links")
-        found = stage(_merged(found, left), "classes")
+        left = stage(_links_of_many(rows, inside, texts, most=few), "links")
+        found = stage(_merged(found, left, few), "classes", tasks=few)
     # what the texts of one class have in common
     members = stage(texts.select("node", "doc_id", *KEY).join(found, "node").withColumn(
-        "component", F.col("component").cast("string")), "classes")
+        "component", F.col("component").cast("string")), "classes", tasks=few)
     own = F.struct(F.col("doc_id").isNull().alias("none"), *KEY)
     named = members.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(own).alias("first"), F.count("*").alias("n"))
     named = join_counted(members.select("component", "node", "text_key"), named, "component", "n", ["node"],
@@ -396,7 +401,7 @@ def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     of_text = named.select("text_key", "class_id", "first.id", F.col("first.text_key").alias("class_key")).unionByName(
         texts.join(found, "node", "left_anti").select("text_key", F.col("doc_id").alias("class_id"), "id",
                                                       F.col("text_key").alias("class_key")))
-    return sketched.select("doc_id", "text_key"), stage(of_text, "classes")
+    return sketched.select("doc_id", "text_key"), stage(of_text, "classes", tasks=few)
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import frugal, run_hashes, text_slices, word_bounds, word_hashes
+from shelfledger.llm.common import frugal, run_hashes, tasks_of, text_slices, word_bounds, word_hashes
 from shelfledger.session import stage
 
 WINDOW = 35
@@ -221,7 +221,7 @@ def repeats(docs: DataFrame, scale: int | None = None) -> DataFrame:
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id", "key", "at", "windows")])
     mixed = stage(mixed, "segments")
     # written, so that the join deals both sides anew and can split a minimiser of very many segments
-    crowded = stage(mixed.groupBy("minimiser").count().filter(F.col("count") > SHARD).select("minimiser"), "crowded")
+    crowded = stage(mixed.groupBy("minimiser").count().filter(F.col("count") > SHARD).select("minimiser"), "crowded", tasks=tasks_of(mixed))
     marked = mixed.join(crowded.withColumn("many", F.lit(True)), "minimiser", "left").withColumn(
         "crowded", F.coalesce("many", F.lit(False)))
     wanted = marked.groupBy("id", "key").agg(F.collect_list(

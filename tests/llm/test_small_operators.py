@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from shelfledger import session
 from shelfledger.llm import (common, decontamination, extraction, fingerprints, languages, near_duplicates, packing,
                              sharding, substrings, token_counts, toxicity)
 
@@ -575,3 +576,43 @@ def test_a_worker_gives_back_what_a_task_used():
     assert list(common.frugal(hold)([1, 2])) == [1, 2]
     assert resident() - before < 40e6  # of 200 MB; 4 MB are pinned
     assert "old table" not in store
+
+
+@pytest.fixture
+def many_partitions(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_tables_of_numbers_are_written_by_few_tasks(spark, many_partitions, monkeypatch):
+    """Hadoop starts processes for every file that is written; the number of shuffle partitions must not multiply them."""
+    near = [(k, " ".join("changed" if w == 40 + 7 * (k % 5) else x for w, x in enumerate(prose(k // 5, 200).split())))
+            for k in range(200)]
+    docs = spark.createDataFrame(rows(*near), SCHEMA).repartition(4)
+    seen = {}
+
+    def counted(df, name="stage", **more):
+        out = session.stage(df, name, **more)
+        seen.setdefault(name, []).append(len([f for f in out.inputFiles() if "/part-" in f]))
+        return out
+
+    for module in (near_duplicates, sys.modules["shelfledger.llm.components"]):
+        monkeypatch.setattr(module, "stage", counted)
+    got = {r.doc_id: r.class_id for r in near_duplicates.classes(docs).collect()}
+    assert got == {k: k - k % 5 for k in range(200)}
+    most = 2 * spark.sparkContext.defaultParallelism
+    numbers = {name: max(n) for name, n in seen.items() if name not in ("sketches", "links")}
+    assert {"texts", "buckets", "pairs", "needs", "edges", "classes"} <= set(numbers)
+    assert max(numbers.values()) <= most, numbers
+
+
+def test_a_workers_passes_and_batches_are_small(spark, docs):
+    """What a Python worker holds of a pass over texts and of a batch is a share of an executor that has two of them."""
+    import pyarrow as pa
+    spans = [(hi - lo, len(data)) for lo, hi, data, _ in common.text_slices(pa.array(["x" * 4000] * 1000))]
+    assert sum(n for n, _ in spans) == 1000 and max(size for _, size in spans) <= 1 << 19
+    assert int(session.RUNTIME_CONF["spark.sql.execution.arrow.maxBytesPerBatch"]) <= 4 << 20
