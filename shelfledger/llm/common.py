@@ -17,10 +17,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfledger.operators.skew import planner_bytes
 from shelfledger.session import configure, remove, scratch_dir, stage
 
 #: Bytes of text that one numpy pass handles; it bounds a worker's memory. A longer text is a pass of its own.
 SLICE = 1 << 19
+#: Bytes of a staged frame for which one task writes what is derived from it.
+TASK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_2 = 0xC2B2AE3D27D4EB4F
 
@@ -52,8 +55,9 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
 
 
 def tasks_of(df: DataFrame) -> int:
-    """As many tasks as read a staged frame, and two for each core at least: for tables of numbers that are derived from it."""
-    return max(df.rdd.getNumPartitions(), 2 * df.sparkSession.sparkContext.defaultParallelism)
+    """A task for every TASK_BYTES of a staged frame, and two for each core at least: for tables of numbers that are derived
+    from it. The number grows with the frame, whatever the shuffle partitions and file splits are."""
+    return max(-(-planner_bytes(df) // TASK_BYTES), 2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def release(spark) -> None:

@@ -616,3 +616,11 @@ def test_a_workers_passes_and_batches_are_small(spark, docs):
     spans = [(hi - lo, len(data)) for lo, hi, data, _ in common.text_slices(pa.array(["x" * 4000] * 1000))]
     assert sum(n for n, _ in spans) == 1000 and max(size for _, size in spans) <= 1 << 19
     assert int(session.RUNTIME_CONF["spark.sql.execution.arrow.maxBytesPerBatch"]) <= 4 << 20
+
+
+def test_the_tasks_of_a_table_grow_with_what_it_is_derived_from(spark, monkeypatch):
+    small, large = (session.stage(spark.range(0, n, 1, 2).selectExpr("xxhash64(id) AS x"), "rows") for n in (10_000, 200_000))
+    monkeypatch.setattr(common, "TASK_BYTES", 1 << 14)
+    least = 2 * spark.sparkContext.defaultParallelism
+    assert least <= common.tasks_of(small) <= max(least, 10)
+    assert 8 * 200_000 / (1 << 14) <= common.tasks_of(large) <= 2 * 8 * 200_000 / (1 << 14)
