@@ -321,3 +321,25 @@ def test_places_become_numbers_in_the_same_order(spark):
     assert dict(both.dtypes)["row_pos"] == "bigint"
     assert [tuple(r["place"]) for r in both.orderBy("row_pos").collect()] == sorted(places)
     assert both.select("row_pos").distinct().count() == len(places)
+
+
+@pytest.mark.parametrize("threshold", ["2k", "20k"])
+def test_loads_whose_tables_are_too_large_to_broadcast(site, spark, threshold):
+    """Two loads with more products, ids and retractions than may be broadcast give what is said of them."""
+    teas = [tea(str(k)) for k in range(1, 400)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        first = site.run(site.products("products_1.json", *teas), site.prices(
+            "prices_1.csv", *[(k, str(k % 450), "s", 2) for k in range(1, 900)], *[(k, "7", "s", 3) for k in range(1, 100)]), 5)
+        # 0 and 400 to 449 are no products; of ids given twice the first accepted row stays
+        assert (first.valid_records, first.rejected_records, first.already_loaded) == (399 + 798, 101 + 99, 0) and first.reconciled
+        second = site.run(site.products("products_2.json", *[tea(str(k), "") for k in range(1, 400, 2)]), site.prices(
+            "prices_2.csv", *[(k, "2", "s", 2) for k in range(2, 300)], (2000, "1", "s", 1)), 6)
+        # odd barcodes and their prices are gone, so their ids are new again
+        assert second.already_loaded == 149 and second.valid_records == 149 and second.rejected_records == 201 and second.reconciled
+        assert site.price_ids() == sorted([k for k in range(1, 900) if k % 450 % 2 == 0 and 0 < k % 450 < 400] + [*range(3, 300, 2)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = batch.silver_prices(spark, site.root)
+    other = batch.silver_prices(spark, site.root, copy="silver/prices_by_store")
+    assert stored.exceptAll(other).isEmpty() and other.exceptAll(stored).isEmpty()

@@ -163,3 +163,35 @@ def test_rows_travel_without_what_other_columns_tell(spark):
     assert [got[i]["event_key"] for i in range(7)] == [uid(1), uid(2), uid(2), "x", None, None, uid(3)]
     assert (got[6]["barcode"], got[6]["barcode_key"], got[6]["store_id"], got[6]["store_key"]) == (" 1", "1", "", None)
     assert [got[i]["failure_reason"] for i in (1, 2, 3, 4)] == [None, "Duplicate event ID in source file", "Event ID is not a UUID", "Missing event ID"]
+
+
+@pytest.mark.parametrize("hot_rows, marked, written", [(1000, 300, ["absent_barcode_key", "absent_store_key", "checked", "repeated"]),
+                                                       (20, 300, ["absent_barcode_key", "absent_store_key", "checked", "repeated"]),
+                                                       (1000, 299, ["absent_barcode_key", "absent_store_key", "checked", "wide"])])
+def test_only_keys_and_places_travel(spark, tmp_path, monkeypatch, hot_rows, marked, written):
+    """Products too many to broadcast meet the file's barcodes, ids and places each other; the rows themselves stay where they are."""
+    names = []
+    monkeypatch.setattr(prices, "MARKED", marked)
+
+    def stage(df, name="checked"):
+        names.append(name)
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    pick = random.Random(5)
+    rows = [{"event_id": pick.choice([uid(1), None, "x", uid(pick.randint(2, 200))]), "price": pick.choice(["2", "-1"]),
+             "barcode": pick.choice(["1", " 77 ", "1", None, "nope"]), "store_id": pick.choice(["s", "s", "t", None])} for _ in range(300)]
+    args = (spark.range(200_000).selectExpr("string(id) AS barcode"), keys(spark, "store_id", "s"), AS_OF)
+    plain = prices.decide_packed(price_rows(spark, rows), *args)
+    expected = [r.asDict(True) for r in plain.orderBy("row_pos").collect()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        got = prices.decide_packed(price_rows(spark, rows), *args, hot_rows=hot_rows, stage=stage, stage_keys=stage,
+                                   stage_wide=lambda df: stage(df, "wide"))
+        shown = got._jdf.queryExecution().executedPlan().toString()
+        assert [r.asDict(True) for r in got.select(*plain.columns).orderBy("row_pos").collect()] == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert names == written
+    assert "hashpartitioning" not in shown
+    assert sum("Duplicate" in (r["failure_reason"] or "") for r in expected) > 5
+    assert 0 < sum("Unknown product" in (r["failure_reason"] or "") for r in expected) < 200

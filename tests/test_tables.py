@@ -31,6 +31,42 @@ def test_insert_if_absent_takes_the_first(spark):
     assert rows(keyed.insert_absent(base, new, ["k"], order="pos"), "k") == [("b", 4, 2)]
 
 
+def test_marks_tell_which_places_occur(spark):
+    places = spark.range(100_000).filter("id % 7 = 3 OR id % 32 IN (7, 8, 31) OR id BETWEEN 32000 AND 33000")
+    got = skew.join_marks(spark.range(-1, 140_000), skew.place_marks(places, "id"), "id", "there")
+    assert got.columns == ["id", "there"] and got.count() == 140_001
+    assert {r["id"] for r in got.filter("there").collect()} == {r["id"] for r in places.collect()}
+    assert skew.join_marks(places, skew.place_marks(places.filter("false"), "id"), "id", "there").filter("there").isEmpty()
+
+
+def test_insert_if_absent_moves_keys_and_places(spark):
+    """With places no other column of the new rows is shuffled; keys may be missing or repeat."""
+    base = spark.range(0, 40_000, 3).selectExpr("nullif(id, 0) AS k", "'old' AS v")
+    new = spark.range(40_000).selectExpr("nullif(id DIV 2, 0) AS k", "concat('new', id) AS v", "id AS pos")
+    expected = rows(keyed.insert_absent(base, new, ["k"]), "pos")
+    assert 20_000 < len(expected) < 40_000
+    got = keyed.insert_absent(base, new, ["k"], place="pos", stage=lambda df: spark.createDataFrame(df.collect(), df.schema))
+    assert got.columns == new.columns and rows(got, "pos") == expected
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_are_counted_before_they_meet_a_large_table(spark):
+    """A reference that is too large to broadcast gives the same counts, and no row is dealt to copies of it."""
+    df = price_rows(spark, [{"event_id": uid(k), "barcode": b, "store_id": s} for k, (b, s) in enumerate(
+        [("1", "s"), ("1", "t"), (None, "s"), ("9", None), ("9", "s")] * 5)])
+    df = df.withColumns({"price": F.col("price").cast("double")})
+    tables = {"products": (keys(spark, "barcode", "1", "1", "2"), "barcode"), "stores": (keys(spark, "store_id", "s"), "store_id")}
+    asked = lambda: quality.check(df, quality.PRICE_CONSTRAINTS, "prices", tables, ["row_pos"])
+    expected = rows(asked(), "expectation")
+    assert {r[1]: r[3] for r in expected}["barcode_references_products"] == 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(asked(), "expectation") == expected
+        assert "explode" not in asked()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_last_per_key(spark):
     df = spark.createDataFrame([("a", 1, 0), ("a", None, 1)], "k string, v int, pos int")
     assert rows(keyed.last_per_key(df, ["k"], "pos"), "k") == [("a", None, 1)]
