@@ -343,3 +343,19 @@ def test_loads_whose_tables_are_too_large_to_broadcast(site, spark, threshold):
     stored = batch.silver_prices(spark, site.root)
     other = batch.silver_prices(spark, site.root, copy="silver/prices_by_store")
     assert stored.exceptAll(other).isEmpty() and other.exceptAll(stored).isEmpty()
+
+
+def test_a_report_is_compressed(site, tmp_path):
+    import os
+    site.run(site.products("products_1.json", tea("1")), site.prices("prices_1.csv", (1, "1", "s", 2)), 5, report=str(tmp_path / "report"))
+    assert all(f.endswith(".json.gz") for f in os.listdir(tmp_path / "report") if f.startswith("part-"))
+
+
+def test_shuffle_files_go_with_their_action(spark):
+    from shelfledger.session import shuffles_removed
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), shuffles_removed(spark):
+        assert spark.conf.get(name) == "true" and spark.range(10).repartition(3).count() == 10
+        raise ValueError
+    assert spark.conf.get(name) == before
